@@ -294,7 +294,7 @@ def tag_counts(*tables: DataFrame) -> DataFrame:
     """How many rows carry each tag, over several tables with a ``tags`` array; tags are trimmed, empty ones skipped."""
     all_tags = reduce(lambda a, b: a.unionByName(b), [t.select("tags") for t in tables])
     return (
-        all_tags.select(F.trim(F.explode("tags")).alias("tag"))
+        all_tags.select(F.explode(F.transform("tags", lambda t: F.trim(t))).alias("tag"))
         .filter("tag <> ''")
         .groupBy("tag")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -29,14 +29,17 @@ def attach(
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
     materialise: bool = True,
+    rows: int | None = None,
 ) -> DataFrame:
     """Join a dimension table. It is materialised once, counted, and broadcast only up to ``max_rows`` rows;
 
-    beyond that a shuffle join runs, where adaptive execution splits skewed keys.
+    beyond that a shuffle join runs, where adaptive execution splits skewed keys. ``rows`` is the count if known.
     """
-    if materialise:
-        dim = cut(dim)
-    small = dim.limit(max_rows + 1).count() <= max_rows
+    if rows is None:
+        if materialise:
+            dim = cut(dim)
+        rows = dim.limit(max_rows + 1).count()
+    small = rows <= max_rows
     return df.join(F.broadcast(dim) if small else dim, list(on), how)
 
 

@@ -73,7 +73,7 @@ FROM (SELECT p_partkey AS j, CAST(floor(sqrt(p_partkey*1e0)) AS BIGINT) AS c FRO
     "mesh_vertices": (
         ("part",),
         """SELECT v AS vertex_id, ((v*7919) % 1009)/100e0 AS x, ((v*104729) % 1013)/100e0 AS y, ((v*31) % 1019)/100e0 AS z
-FROM (SELECT DISTINCT p_partkey + 2*CAST(floor(sqrt(p_partkey*1e0)) AS BIGINT) + {seq:0,2} AS v FROM part) c""",
+FROM (SELECT DISTINCT j + k AS v FROM (SELECT p_partkey + 2*CAST(floor(sqrt(p_partkey*1e0)) AS BIGINT) AS j, {seq:0,2} AS k FROM part) s) c""",
     ),
     "nodes": (
         ("region", "nation", "customer"),
