@@ -217,12 +217,12 @@ def choose_by_coverage(
     """The n best frames by (1-w) * scaled quality + w * coverage."""
     c = coverage_scores(cams, F.greatest(F.lit(n_select), F.col("n_rows")), key, id_col, rows_per_bucket)
     c = cut(c)
-    q = c.groupBy(key).agg(F.min(quality).alias("_a"), F.max(quality).alias("_b"))
+    q = c.groupBy(key).agg(F.min(quality).alias("_q0"), F.max(quality).alias("_q1"))
     j = attach(c, q, [key])
-    span = F.col("_b") - F.col("_a")
-    norm = F.when(span > 1e-9, (F.col(quality) - F.col("_a")) / F.when(span > 1e-9, span)).otherwise(F.lit(1.0))
+    span = F.col("_q1") - F.col("_q0")
+    norm = F.when(span > 1e-9, (F.col(quality) - F.col("_q0")) / F.when(span > 1e-9, span)).otherwise(F.lit(1.0))
     j = j.withColumn("combined", norm * (1.0 - weight) + F.col("coverage") * weight).withColumn("_neg", -F.col("combined"))
-    return take_smallest(j, [key], "_neg", id_col, F.lit(n_select), rows_per_bucket).drop("_a", "_b", "_neg")
+    return take_smallest(j, [key], "_neg", id_col, F.lit(n_select), rows_per_bucket).drop("_q0", "_q1", "_neg")
 
 
 # ------------------------------------------------------------------ tracking

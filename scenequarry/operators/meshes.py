@@ -105,13 +105,13 @@ def cluster_vertices(
     ratio = F.lit(float(target_faces)) / F.greatest(F.col("_n"), F.lit(1))
     size = box.join(n, keys).select(*keys, (F.col("_d") * (F.lit(1.0) - F.pow(ratio, F.lit(0.33))) * 0.1).alias("_s"))
     j = attach(vertices, size, keys)
-    cell = [F.when(F.col("_s") > 0, F.rint(F.col(a) / F.when(F.col("_s") > 0, F.col("_s"))).cast("long")).alias(f"_k{a}") for a in XYZ]
-    solo = F.when(F.col("_s") > 0, F.lit(None).cast("long")).otherwise(F.col("vertex_id")).alias("_kid")
+    sized = F.col("_s") > 0
+    cell = [F.when(sized, F.rint(F.col(a) / F.when(sized, F.col("_s")))).otherwise(F.lit(0.0)).cast("long").alias(f"_k{a}") for a in XYZ]
+    solo = F.when(sized, F.lit(-1)).otherwise(F.col("vertex_id")).cast("long").alias("_kid")
     placed = cut(j.select(*keys, "vertex_id", *XYZ, *cell, solo))
     group = [*keys, *[f"_k{a}" for a in XYZ], "_kid"]
     cells = cut(placed.groupBy(*group).agg(F.min("vertex_id").alias("new_id"), *[F.avg(a).alias(a) for a in XYZ]))
-    cond = [placed[k] == cells[k] for k in keys] + [placed[k].eqNullSafe(cells[k]) for k in group[len(keys):]]
-    mapping = placed.join(cells, cond).select(*[placed[k] for k in keys], placed["vertex_id"], cells["new_id"])
+    mapping = placed.select(*group, "vertex_id").join(cells.select(*group, "new_id"), group).select(*keys, "vertex_id", "new_id")
     return cells.select(*keys, F.col("new_id").alias("vertex_id"), *XYZ), remap_faces(faces, mapping, keys)
 
 
