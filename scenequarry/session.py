@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +43,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back: lineage ends here and executor loss is survivable."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table into the shared checkpoint folder and read it back.
+
+    Lineage ends here and the loss of an executor costs nothing that was computed before. A written table is used rather
+    than an RDD checkpoint because loops stay cheap to plan: a checkpointed frame carries the constraints of its old plan
+    into every later round. The tables live under the application's own checkpoint folder.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
