@@ -75,21 +75,25 @@ def rolling_percentiles_stream(samples: DataFrame, scope: str, last_n: int = 120
     )
 
 
-def metrics_log_stream(metrics: DataFrame, log_path: str, best_path: str, checkpoint: str) -> StreamingQuery:
-    """Append each batch to the log and rewrite the best-so-far table from the old one and the batch.
+def metrics_log_stream(metrics: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
+    """Append each batch to the log. The log is partitioned by batch number and a repeated batch overwrites its own
 
-    The log is partitioned by batch number and a repeated batch overwrites its own partition, so a retry adds nothing.
+    partition, so a retry adds nothing.
     """
-    from scenequarry.operators.aggregates import best_metrics
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{log_path}/batch={number}")
-        spark = batch.sparkSession
-        best_metrics(spark.read.parquet(log_path)).write.mode("overwrite").parquet(best_path)
 
     return metrics.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def best_metrics_stream(metrics: DataFrame) -> DataFrame:
+    """Best-so-far row per run for update mode; the state is one row per run."""
+    from scenequarry.operators.aggregates import best_metrics
+
+    return best_metrics(metrics)
+
+
 def resumable_sessions(
     sessions: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, late: str = "7 days"
 ) -> StreamingQuery:
