@@ -15,8 +15,15 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def loss_average_stream(losses: DataFrame, alpha: float, idle_ms: int = 3_600_000) -> DataFrame:
-    """EMA per (run_id, camera). Rows at or before the last seen step are dropped; idle keys give up their state."""
+def _timeout(idle_ms: int | None) -> str:
+    """Processing-time timeouts make Spark run batches without data, so they are on only when asked for."""
+    return GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+
+
+def loss_average_stream(losses: DataFrame, alpha: float, idle_ms: int | None = None) -> DataFrame:
+    """EMA per (run_id, camera). Rows at or before the last seen step are dropped; with ``idle_ms`` idle keys give up
+
+    their state."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -32,12 +39,13 @@ def loss_average_stream(losses: DataFrame, alpha: float, idle_ms: int = 3_600_00
         if last is None:
             return
         state.update((ema, last, latest, n))
-        state.setTimeoutDuration(idle_ms)
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame({"run_id": [key[0]], "camera": [key[1]], "ema": [ema], "latest": [latest], "samples": [n], "last_step": [last]})
 
     return losses.groupBy("run_id", "camera").applyInPandasWithState(
         step, "run_id long, camera long, ema double, latest double, samples long, last_step long",
-        "ema double, last long, latest double, n long", "update", GroupStateTimeout.ProcessingTimeTimeout,
+        "ema double, last long, latest double, n long", "update", _timeout(idle_ms),
     )
 
 
@@ -55,7 +63,7 @@ def run_peaks_stream(trace: DataFrame) -> DataFrame:
     return trace.groupBy("stage").agg(F.max("vram_mb").alias("peak_vram_mb"), F.count(F.lit(1)).alias("sample_count"))
 
 
-def rolling_percentiles_stream(samples: DataFrame, scope: str, last_n: int = 120, idle_ms: int = 3_600_000) -> DataFrame:
+def rolling_percentiles_stream(samples: DataFrame, scope: str, last_n: int = 120, idle_ms: int | None = None) -> DataFrame:
     """Linear p50 and p95 of the last ``last_n`` samples per scope in arrival order; the state is that ring and nothing more."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -66,12 +74,13 @@ def rolling_percentiles_stream(samples: DataFrame, scope: str, last_n: int = 120
         for pdf in batches:
             ring = (ring + pdf.sort_values("order")["value"].tolist())[-last_n:]
         state.update((ring,))
-        state.setTimeoutDuration(idle_ms)
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
         s = pd.Series(ring)
         yield pd.DataFrame({"scope": [key[0]], "samples": [len(ring)], "p50": [s.quantile(0.5)], "p95": [s.quantile(0.95)]})
 
     return samples.select(F.col(scope).alias("scope"), "order", "value").groupBy("scope").applyInPandasWithState(
-        step, "scope string, samples long, p50 double, p95 double", "ring array<double>", "update", GroupStateTimeout.ProcessingTimeTimeout
+        step, "scope string, samples long, p50 double, p95 double", "ring array<double>", "update", _timeout(idle_ms)
     )
 
 

@@ -64,7 +64,7 @@ def test_golden_shapes_and_masks(spark):
     assert np.allclose([x["v"] for x in r], [4 * np.pi / 3, 32 * np.pi / 3]) and np.allclose([x["a"] for x in r], [1, 4])
     assert np.allclose([x["e"] for x in r], [3, 1.9503675], rtol=1e-6)
     eye = F.array(*[F.lit(float(v)) for v in np.eye(4).ravel()])
-    p = spark.createDataFrame([(0, 0, 2), (1, 0, 2), (0, 0, 0), (0.5, 9, 4), (0, 0, 5)], "x double, y double, z double")
+    p = spark.createDataFrame([(0.0, 0.0, 2.0), (1.0, 0.0, 2.0), (0.0, 0.0, 0.0), (0.5, 9.0, 4.0), (0.0, 0.0, 5.0)], "x double, y double, z double")
     got = [x[0] for x in p.select(SEL.depth_window(eye, 1, 4, 0.5)).collect()]
     assert got == [True, False, False, True, False]
     n = C.fibonacci_sphere(spark, 50).select((F.col("x") ** 2 + F.col("y") ** 2 + F.col("z") ** 2).alias("n")).collect()
@@ -77,8 +77,9 @@ def test_colocated_cameras_score_one(spark):
 
 
 def drain(df, name, mode):
-    q = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
-    q.awaitTermination(120)
+    q = df.writeStream.format("memory").queryName(name).outputMode(mode).start()
+    q.processAllAvailable()
+    q.stop()
     return df.sparkSession.table(name)
 
 
