@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scenequarry.llm import best_fit as B
 from scenequarry.llm import decision_lists as D
 from scenequarry.llm import near_frames as N
 from scenequarry.session import cut
@@ -56,3 +57,21 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = N.near_frames(N.caption_phash(captions(spark, sf_dir)).drop("caption"))
     return groups.select(F.col("frame_id").alias("doc_id"), F.lower(F.lpad(F.hex("phash"), 16, "0")).alias("fingerprint"), F.col("group_id").alias("component_id"))
+
+
+def as_assets(docs: DataFrame) -> DataFrame:
+    """Documents as catalogue assets with notes."""
+    return docs.select(F.col("doc_id").alias("asset_id"), F.col("text").alias("notes"))
+
+
+def packed(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    pieces = B.token_pieces(as_assets(docs), vocabulary or public_tokenizers.path("word_bpe_49k.json"))
+    pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return B.pack_pieces(pieces, ["asset_id", "piece"]).select(F.col("asset_id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op7_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(spark.read.parquet(f"{sf_dir}/documents.parquet"))
