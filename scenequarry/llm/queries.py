@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scenequarry.llm import best_fit as B
 from scenequarry.llm import decision_lists as D
+from scenequarry.llm import deobfuscation as X
 from scenequarry.llm import near_frames as N
 from scenequarry.session import cut
 
@@ -75,3 +76,26 @@ def packed(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 @query("op7_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: Labelled rows, at most, that the toxicity model is fitted on.
+LABELLED = 12_000
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> X.ToxicityModel:
+    """Letter counts over all documents; labels of a bounded sample outside the held-out fifth, drawn by a hash of the id."""
+    assets = as_assets(docs)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out(F.col("doc_id")))
+    drawn = F.broadcast(labels.select(F.col("doc_id").alias("asset_id"), "toxic").orderBy(F.xxhash64("asset_id"), "asset_id").limit(LABELLED))
+    return X.fit_toxicity(assets.join(drawn, "asset_id"), X.letter_model(X.letter_counts(assets)))
+
+
+def held_out(doc_id: Column) -> Column:
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+@query("op8_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    scored = X.score_notes(as_assets(docs), toxicity_model(spark, docs, sf_dir))
+    return scored.select(F.col("asset_id").alias("doc_id"), held_out(F.col("asset_id")).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
