@@ -29,13 +29,15 @@ CODE = {c: i for i, c in enumerate(ALPHABET)}
 OTHER = SIZE - 1
 LETTER = r"[^\W\d_]"
 _SIGN = re.escape("".join(SIGNS) + ANY)
-#: A word with signs or a letter three times in a row, and single letters with one separator each between them.
-SUSPECT = re.compile(
-    rf"(?<![\w]){LETTER}(?:[ .\-_*]{LETTER}(?![\w])){{3,}}|(?<![\w])[0134578@$!|+](?:[ .\-_*][\w@$!|+](?![\w])){{3,}}|[\w{_SIGN}]*?(?:{LETTER}[{_SIGN}]+{LETTER}|({LETTER})\1\1|(?<![\w])[0134578@$!|+]{LETTER}{LETTER})[\w{_SIGN}]*", re.IGNORECASE
-)
-QUICK = re.compile(rf"[\w][ .\-_*][\w][ .\-_*][\w]|[{_SIGN}]{LETTER}|({LETTER})\1\1", re.IGNORECASE)
-INVISIBLE = re.compile("[­​-‍⁠﻿]")
+#: Three or more equal signs at an end are decoration, and so is punctuation around a word.
+DECORATION = re.compile(r"^([^\w])\1{2,}|([^\w])\2{2,}$")
+AROUND = ".,;:!?\"'()[]{}-_<>&%#*|"
+SPACED = re.compile(r"[^\W_](?:[.\-_*~/][^\W_]){2,}")
+SUSPECT = re.compile(rf"{LETTER}[{_SIGN}]|[{_SIGN}]{LETTER}|({LETTER})\1\1|(?:({LETTER})\2.*){{3}}", re.IGNORECASE)
+INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
 WORD = re.compile(rf"{LETTER}+")
+#: Tokens that a task keeps readings of.
+KNOWN = 300_000
 
 
 def letter_counts(assets: DataFrame, notes: str = "notes") -> DataFrame:
@@ -93,15 +95,16 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             j += 1
         c, n = chars[i], j - i
         if c in SIGNS:
-            reads = [(x, 0.5) for x in SIGNS[c]] + [(x + x, 1.5) for x in SIGNS[c] if n > 1]
+            reads = [(x, 0.5) for x in SIGNS[c]] + [(x + x, 0.5) for x in SIGNS[c] if n > 1]
             if c.isalnum():
                 reads.append((c, 1.0))
         elif c in ANY:
-            reads = [(x, 2.0) for x in ALPHABET[1:27]] + [("", 3.0)]
+            out += [[(x, 2.0) for x in ALPHABET[1:27]] + [("", 3.0)]] * (n if n < 3 else 0)
+            reads = [("", 0.0)]
         elif n == 1:
             reads = [(c, 0.0)]
         else:
-            reads = [(c, 0.7 if n > 2 else 2.0), (c + c, 0.7 if n > 2 else 0.0)]
+            reads = [(c, 0.7 if n > 2 else 3.0), (c + c, 0.7 if n > 2 else 0.0)]
         out.append(reads)
         i = j
     return out
@@ -126,48 +129,106 @@ def decode(token: str, model: np.ndarray) -> str:
     return max((s + float(model[x, y, z, 0]), t) for (x, y, z), (s, t) in states.items())[1]
 
 
-EDGES = "".join(sorted(set("$!|+(<@" + ANY)))
+def reading(token: str, model: np.ndarray) -> list[str]:
+    """Lower-case words that a token without white space stands for; a plain token stands for its own letters."""
+    core = token.strip(AROUND)
+    if not core.isalpha():
+        core = DECORATION.sub("", INVISIBLE.sub("", token)).strip(AROUND)
+        if len(core) > 2 and SPACED.fullmatch(core):
+            return [decode(core[::2], model)]
+    if SUSPECT.search(core):
+        return WORD.findall(decode(core, model))
+    return [core.lower()] if core.isalpha() else WORD.findall(core.lower())
 
 
-def restore(text: str, model: np.ndarray, known: dict[str, str]) -> str:
-    """Whole text with suspect tokens replaced by their best readings; ``known`` keeps readings."""
+def readings(token: str, model: np.ndarray) -> set[str]:
+    """The words of ``reading`` and the token's own letters."""
+    words = reading(token, model)
+    return {*words} if token.isalpha() and len(words) == 1 and len(words[0]) == len(token) else {*words, *WORD.findall(token.lower())}
 
-    def one(m: re.Match) -> str:
-        token = m.group(0)
-        if token not in known:
-            if len(known) > 200_000:
-                known.clear()
-            core = re.sub(r"[ .\-_*]", "", token) if len(token) > 6 and re.fullmatch(r"[^\W_](?:[ .\-_*][^\W_])+|[\w@$!|+](?:[ .\-_*][\w@$!|+])+", token) else token.rstrip(EDGES)
-            known[token] = decode(core, model) + " "
-        return known[token]
 
-    text = INVISIBLE.sub("", text)
-    return SUSPECT.sub(one, text) if QUICK.search(text) else text
+def runs(tokens: list[str]) -> list[tuple[int, int]]:
+    """(first, end) of at least three single characters in a row."""
+    ones = [i for i, w in enumerate(tokens) if len(w) == 1]
+    out, k = [], 0
+    while k < len(ones):
+        j = k
+        while j + 1 < len(ones) and ones[j + 1] == ones[j] + 1:
+            j += 1
+        if j - k >= 2:
+            out.append((ones[k], ones[j] + 1))
+        k = j + 1
+    return out
+
+
+def spaced(tokens: list[str], model: np.ndarray) -> list[str]:
+    """Readings of letters that stand alone in a row; a letter at either end may be a word of its own."""
+    whole = decode("".join(tokens), model)
+    return [whole, whole[1:], whole[:-1], whole[1:-1]]
+
+
+def restore(text: str, model: np.ndarray) -> str:
+    """Whole text in lower case with each token's readings in its place, one space between words."""
+    tokens = text.split()
+    out, at = [], 0
+    for first, end in [*runs(tokens), (len(tokens), len(tokens))]:
+        out += [w for t in tokens[at:first] for w in reading(t, model)]
+        if first < end:
+            out.append(decode("".join(tokens[first:end]), model))
+        at = end
+    return " ".join(out)
+
+
+class Words(dict):
+    """What ``read`` makes of a token, worked out once per token and task."""
+
+    def __init__(self, read) -> None:
+        super().__init__()
+        self.read = read
+
+    def __missing__(self, token: str) -> tuple[str, ...]:
+        if len(self) >= KNOWN:
+            self.clear()
+        self[token] = out = tuple(self.read(token))
+        return out
+
+    def of(self, text: str, model: np.ndarray, read) -> set[str]:
+        tokens = text.split()
+        found = set().union(*map(self.__getitem__, set(tokens)))
+        for first, end in runs(tokens):
+            for w in spaced(tokens[first:end], model):
+                found.update(read(w))
+        return found
 
 
 def features(word: str) -> list[str]:
-    """A word and its beginnings of four to six letters."""
-    return ["=" + word, *[word[:k] for k in (4, 5, 6) if len(word) > k]]
+    """A word of three letters or more and its beginnings of four to six letters."""
+    return ["=" + word, *[word[:k] for k in (4, 5, 6) if len(word) > k]] if len(word) > 2 else []
+
+
+def all_features(letters: np.ndarray) -> Words:
+    return Words(lambda t: [f for w in readings(t, letters) for f in features(w)])
 
 
 @dataclass
 class ToxicityModel:
-    """Weights of features; ``bias`` alone scores notes without any."""
+    """Each feature alone makes a note toxic with its own probability; ``base`` is that of a note without any."""
 
     letters: np.ndarray
-    bias: float = -4.0
-    weights: dict[str, float] = field(default_factory=dict)
+    base: float = 0.01
+    parts: dict[str, float] = field(default_factory=dict)
+
+    def told(self) -> Words:
+        return Words(lambda t: [f for w in readings(t, self.letters) for f in features(w) if f in self.parts])
 
-    def hits(self, text: str, known: dict[str, str]) -> set[str]:
-        w = self.weights
-        words = {x for x in set(WORD.findall(restore(text, self.letters, known).lower())) if len(x) > 2}
-        found = {f for x in words if (f := x[:4]) in w and len(x) > 4} | {f for x in words if (f := x[:5]) in w and len(x) > 5}
-        found |= {f for x in words if (f := x[:6]) in w and len(x) > 6}
-        return found | {f for x in words if (f := "=" + x) in w}
+    def hits(self, text: str | None, words: Words) -> set[str]:
+        return words.of(text, self.letters, lambda w: [f for f in features(w) if f in self.parts]) if text else set()
 
-    def score(self, text: str | None, known: dict[str, str]) -> float:
-        s = self.bias + sum(self.weights[f] for f in self.hits(text, known)) if text else self.bias
-        return 1 / (1 + math.exp(-max(-50.0, min(50.0, s))))
+    def score(self, text: str | None, words: Words) -> float:
+        clean = 1 - self.base
+        for f in sorted(self.hits(text, words)):
+            clean *= 1 - self.parts[f]
+        return 1 - clean
 
 
 def fit_toxicity(labelled: DataFrame, letters: np.ndarray, notes: str = "notes", toxic: str = "toxic", candidates: int = 4000, rules: int = 256) -> ToxicityModel:
@@ -175,25 +236,25 @@ def fit_toxicity(labelled: DataFrame, letters: np.ndarray, notes: str = "notes",
 
     Words and word beginnings of restored notes are counted by label. Those that toxic notes hold more often than chance
     allows (binomial tail, corrected for the number of features; at most the ``candidates`` surest) go to a greedy cover
-    of the toxic notes, so that copies of one note don't bring in all their words; at most ``rules`` are taken. Their
-    weights come from a logistic regression. Without toxic labels each note gets the smoothed base rate.
+    of the toxic notes, so that copies of one note don't bring in all their words; at most ``rules`` are taken. A feature's
+    part is the smoothed share of toxic notes among those that hold it, and parts combine as independent causes (noisy
+    or). Without toxic labels each note gets the smoothed base rate.
     """
     shared = labelled.sparkSession.sparkContext.broadcast(letters)
     rows = cut(labelled.filter(F.col(toxic).isin(0, 1)).select(F.col(notes).alias("t"), (F.col(toxic) == 1).alias("y")))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bad, good, known = Counter(), Counter(), {}
+        bad, good, words = Counter(), Counter(), all_features(shared.value)
         for b in batches:
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                words = {x for x in WORD.findall(restore(t or "", shared.value, known).lower()) if len(x) > 2}
-                (bad if y else good).update({f for x in words for f in features(x)})
+                (bad if y else good).update(words.of(t or "", shared.value, features))
         if bad or good:
             names = list(bad | good)
             yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([bad[f] for f in names], pa.int64()), pa.array([good[f] for f in names], pa.int64())], ["f", "b", "g"])
 
     n = rows.agg(F.count("*"), F.coalesce(F.sum(F.col("y").cast("long")), F.lit(0))).first()
     total, bad = n[0], n[1]
-    model = ToxicityModel(letters, math.log((bad + 0.5) / (total - bad + 9.5)))
+    model = ToxicityModel(letters, (bad + 0.1) / (total + 10))
     if not bad or bad == total:
         return model
     base = bad / total
@@ -205,9 +266,9 @@ def fit_toxicity(labelled: DataFrame, letters: np.ndarray, notes: str = "notes",
     probe = labelled.sparkSession.sparkContext.broadcast(ToxicityModel(letters, 0.0, {r[0]: 1.0 for r in best}))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, str] = {}
+        words = probe.value.told()
         for b in batches:
-            hits = [sorted(probe.value.hits(t or "", known)) for t in b.column(0).to_pylist()]
+            hits = [sorted(probe.value.hits(t, words)) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(hits, pa.list_(pa.string()))], ["y", "hits"])
 
     seen = [(r.y, r.hits) for r in rows.mapInArrow(found, "y boolean, hits array<string>").collect()]
@@ -220,7 +281,7 @@ def fit_toxicity(labelled: DataFrame, letters: np.ndarray, notes: str = "notes",
             else:
                 wrong[f] += 1
     left, chosen = {i for i, (y, _) in enumerate(seen) if y}, []
-    usable = {f for f in holds if len(holds[f]) >= 9 * wrong[f]}
+    usable = {f for f in holds if len(holds[f]) >= 4 * wrong[f]}
     while left and usable and len(chosen) < rules:
         f = max(usable, key=lambda f: (len(holds[f] & left) - wrong[f], len(holds[f]), f))
         if len(holds[f] & left) < max(2, 0.001 * bad):
@@ -230,23 +291,9 @@ def fit_toxicity(labelled: DataFrame, letters: np.ndarray, notes: str = "notes",
         usable.discard(f)
     # words that are as telling by themselves, though every note with them is covered already
     chosen += sorted((f for f in usable if f[0] == "=" and len(holds[f]) >= 0.02 * bad), key=lambda f: -len(holds[f]))[: rules - len(chosen)]
-    at = {f: k for k, f in enumerate(chosen)}
-    x = np.zeros((len(seen), len(chosen) + 1))
-    x[:, -1] = 1
-    for i, (_, hits) in enumerate(seen):
-        x[i, [at[f] for f in hits if f in at]] = 1
-    y = np.array([r[0] for r in seen], float)
-    w = np.zeros(x.shape[1])
-    w[-1] = math.log(base / (1 - base))
-    ridge = np.full(len(w), 0.05)
-    ridge[-1] = 1e-3
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge + 1e-6), x.T @ (y - p) - ridge * w)
-        w += step
-        if np.abs(step).max() < 1e-6:
-            break
-    model.bias, model.weights = float(w[-1]), {f: float(w[k]) for f, k in at.items()}
+    model.parts = {f: (len(holds[f]) + 0.5) / (len(holds[f]) + wrong[f] + 1) for f in chosen}
+    rest = [y for y, hits in seen if model.parts.keys().isdisjoint(hits)]
+    model.base = (sum(rest) + 0.1) / (len(rest) + 10)
     return model
 
 
@@ -261,12 +308,12 @@ def score_notes(assets: DataFrame, model: ToxicityModel, notes: str = "notes", s
     schema = T.StructType([*kept.schema.fields, T.StructField(score, T.DoubleType()), *([T.StructField(restored, T.StringType())] if restored else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, str] = {}
+        words = shared.value.told()
         for b in batches:
             texts = b.column(notes).to_pylist()
-            more = [pa.array([shared.value.score(t, known) for t in texts], pa.float64())]
+            more = [pa.array([shared.value.score(t, words) for t in texts], pa.float64())]
             if restored:
-                more.append(pa.array([restore(t or "", shared.value.letters, known) for t in texts], pa.string()))
+                more.append(pa.array([restore(t or "", shared.value.letters) for t in texts], pa.string()))
             yield pa.RecordBatch.from_arrays([*b.columns, *more], [*b.schema.names, *new])
 
     return kept.mapInArrow(run, schema)

@@ -43,6 +43,15 @@ def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("frame_id"), F.col("quality").alias("accepted")).filter("frame_id IS NOT NULL")
 
 
+#: Labelled rows, at most, that the pipeline's quality rules are fitted on.
+VERDICTS = 20_000
+
+
+def drawn_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most ``VERDICTS`` rows of ``verdicts``, drawn by a hash of the id: small enough to be sent to every worker."""
+    return verdicts(spark, sf_dir).filter("accepted IS NOT NULL").orderBy(F.xxhash64("frame_id"), "frame_id").limit(VERDICTS)
+
+
 @query("op9_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = cut(D.caption_metrics(captions(spark, sf_dir)).drop("caption"))
