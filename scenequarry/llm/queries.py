@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from scenequarry.llm import best_fit as B
 from scenequarry.llm import decision_lists as D
 from scenequarry.llm import deobfuscation as X
+from scenequarry.llm import licence_rules as L
 from scenequarry.llm import near_frames as N
+from scenequarry.llm import url_rules as U
 from scenequarry.session import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +110,19 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scored = X.score_notes(as_assets(docs), toxicity_model(spark, docs, sf_dir))
     return scored.select(F.col("asset_id").alias("doc_id"), held_out(F.col("asset_id")).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+#: (host, path, allowed)
+URL_RULES = (("net", "/", False), ("example.net", "/en/", True), ("example.com", "/de/", False), ("org", "/fr/", True))
+
+
+@query("op3_url_filter")
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return U.judge_pages(pages, U.alias_links(pages), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "alias_verdict")
+
+
+@query("op2_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = L.scan_notes(as_assets(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    return scanned.select(F.col("asset_id").alias("doc_id"), "n_sentences", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"))
