@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from scenequarry.llm import best_fit as B
 from scenequarry.llm import decision_lists as D
 from scenequarry.llm import deobfuscation as X
+from scenequarry.llm import label_shards as S
 from scenequarry.llm import licence_rules as L
 from scenequarry.llm import near_frames as N
+from scenequarry.llm import pieces as P
 from scenequarry.llm import url_rules as U
 from scenequarry.session import cut
 
@@ -126,3 +128,23 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = L.scan_notes(as_assets(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     return scanned.select(F.col("asset_id").alias("doc_id"), "n_sentences", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"))
+
+
+@query("op6_sharding")
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    assets = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        F.col("doc_id").alias("asset_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc32"), F.xxhash64(text).alias("content")
+    )
+    placed = S.place_assets(assets, "content", ["asset_id", "content"])
+    return placed.select(F.col("asset_id").alias("doc_id"), "size", F.col("crc32").alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op1_sentencepiece")
+def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    strings = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("value"))
+    done = P.decode_strings(P.encode_strings(strings, model), model)
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.hash("ids").alias("ids_hash"), F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"), (F.col("decoded") == F.col("value")).alias("round_trip"))
