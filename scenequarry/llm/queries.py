@@ -12,6 +12,7 @@ from scenequarry.llm import decision_lists as D
 from scenequarry.llm import deobfuscation as X
 from scenequarry.llm import label_shards as S
 from scenequarry.llm import licence_rules as L
+from scenequarry.llm import multiprobe as M
 from scenequarry.llm import near_frames as N
 from scenequarry.llm import pieces as P
 from scenequarry.llm import url_rules as U
@@ -148,3 +149,9 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     strings = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("value"))
     done = P.decode_strings(P.encode_strings(strings, model), model)
     return done.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.hash("ids").alias("ids_hash"), F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"), (F.col("decoded") == F.col("value")).alias("round_trip"))
+
+
+@query("op5_nearest_neighbours")
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("splat_id"), F.col("embedding").alias("features"))
+    return M.nearest_splats(vectors, "id % 20 = 0").select("query_id", "rank", F.col("id").alias("vec_id"), "score")
