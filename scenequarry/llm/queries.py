@@ -14,6 +14,7 @@ from scenequarry.llm import label_shards as S
 from scenequarry.llm import licence_rules as L
 from scenequarry.llm import multiprobe as M
 from scenequarry.llm import near_frames as N
+from scenequarry.llm import page_content as C
 from scenequarry.llm import pieces as P
 from scenequarry.llm import url_rules as U
 from scenequarry.session import cut
@@ -155,3 +156,10 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("splat_id"), F.col("embedding").alias("features"))
     return M.nearest_splats(vectors, "id % 20 = 0").select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query("op4_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    found = C.extract_pages(pages, C.fit_content_model(C.self_labelled(pages)))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
