@@ -141,9 +141,9 @@ def block_text(parts: list[tuple[int, str]]) -> str:
     return " ".join("".join(t for _, t in parts).split())
 
 
-#: Share that the text features of a node have in its potential beside those of its name and attributes; paragraphs of one
-#: part of a page say much the same, so that they may not count as independent.
-TEXT_WEIGHT, NAME_WEIGHT = 0.3, 1.5
+#: Exponents of the potentials of a node's text features and of its attributes: paragraphs of one part of a page say much
+#: the same, so that they may not count as independent, while the names of parts are chosen to tell.
+TEXT_WEIGHT, NAME_WEIGHT = 0.2, 3.0
 
 
 class Forest:
@@ -184,11 +184,14 @@ BINS = 13
 
 @dataclass
 class ContentModel:
-    """Potentials of a tree of elements that are content (1) or not (0), as logarithms."""
+    """Potentials of a tree of elements that are content (1) or not (0), as logarithms.
+
+    ``steps`` holds, by the child's tag, the potential of a parent's and a child's label; ``tokens`` (names in attributes)
+    and ``bins`` (length, links and sentence ends of the text below) belong to single nodes.
+    """
 
     start: np.ndarray
     tags: dict[str, int]
-    by_tag: np.ndarray
     steps: np.ndarray
     tokens: dict[str, tuple[float, float]]
     bins: np.ndarray
@@ -197,12 +200,11 @@ class ContentModel:
     def from_counts(cls, counts: dict[tuple[str, str], tuple[float, float, float, float]]) -> ContentModel:
         """From (kind, name) -> numbers: of nodes by label, or of (parent, child) label pairs for steps."""
         tags = {name: i for i, name in enumerate(sorted({n for k, n in counts if k == "tag"} | {"#other"}))}
-        by_tag, steps = np.full((len(tags), 2), 0.5), np.zeros((len(tags), 2, 2))
+        steps = np.zeros((len(tags), 2, 2))
         pooled = np.array([[8.0, 2.0], [1.0, 9.0]])
         bins, tokens, nodes = np.full((BINS, 2), 1.0), {}, np.ones(2)
         for (kind, name), c in counts.items():
             if kind == "tag":
-                by_tag[tags[name]] += c[:2]
                 nodes += c[:2]
             elif kind == "step":
                 steps[tags.get(name, tags["#other"])] += np.array(c).reshape(2, 2)
@@ -215,7 +217,7 @@ class ContentModel:
         prior = pooled / pooled.sum(1, keepdims=True)
         for a, b in ((0, 5), (5, 9), (9, 13)):
             bins[a:b] /= bins[a:b].sum(0)
-        return cls(np.log(np.array([0.9, 0.1])), tags, np.log(by_tag / by_tag.sum(0)), np.log((steps + 4 * prior) / (steps.sum(2, keepdims=True) + 4)), tokens, np.log(bins))
+        return cls(np.log(np.array([0.9, 0.1])), tags, np.log((steps + 4 * prior) / (steps.sum(2, keepdims=True) + 4)), tokens, np.log(bins))
 
     def marginals(self, f: Forest) -> np.ndarray:
         """Chance of each element to be content: one pass from the leaves to the roots and one back, over all pages at once."""
@@ -223,7 +225,7 @@ class ContentModel:
             return np.zeros(0)
         other = self.tags["#other"]
         tag = np.array([self.tags.get(t, other) for t in f.tags])
-        own = TEXT_WEIGHT * self.bins[f.bins].sum(1) + NAME_WEIGHT * self.by_tag[tag]
+        own = TEXT_WEIGHT * self.bins[f.bins].sum(1)
         for i, some in enumerate(f.tokens):
             for t in some:
                 if t in self.tokens:
@@ -253,7 +255,7 @@ def label_counts(html: str, text: str) -> Counter:
                 good[node] += 0 if t.isspace() else len(t)
     for level in f.levels[:0:-1]:
         np.add.at(good, f.parent[level], good[level])
-    label = np.where(f.length == 0, -1, (good >= 0.9 * f.length).astype(int))
+    label = np.where(f.length == 0, -1, (good > 0.5 * f.length).astype(int))
     out: Counter = Counter()
     for i in range(f.n):
         y = label[i]
@@ -305,21 +307,25 @@ def teaching_pages() -> list[tuple[str, str]]:
             main = [line(k + j, 18 + 9 * (j + form)) + " " + line(k * j + form, 14) for j in range(4)]
             title = line(k + 3, 5)
             list_ = "<ul>" + "".join(f'<li><a href="/{j}">{words[(k + j) % len(words)]}</a></li>' for j in range(5)) + "</ul>"
-            body = f"<p>{line(k + 11, 16)} {line(k + 12, 12)}</p><p>{line(k + 13, 21)}</p>" if form else f"<p>{line(k + 14, 6)}</p>{list_}"
-            part = (f'<div class="{name}">{body}</div>', f'<section id="{name}">{body}</section>', f'<aside class="{name}-box">{body}</aside>')[form]
+            body = f"<h{2 + k % 3}>{line(k, 2)}</h{2 + k % 3}><p>{line(k + 11, 16)} {line(k + 12, 12)}</p><p>{line(k + 13, 21)}</p>" if form else f"{line(k + 14, 17)} <b>{line(k, 3)}</b>" if k % 2 else f"<p>{line(k + 14, 6)}</p>{list_}"
+            part = (f'<div class="{name}">{body}</div>', f'<section id="{name}">{body}</section>', f'<aside class="{name}-box">{body}</aside>' if k % 2 else f"<aside>{body}</aside>")[form]
             paragraphs = "".join(f"<p>{x}</p>" for x in main)
-            inner = f"<h1>{title}</h1>{paragraphs}"
+            extra = [[], [line(k + 7, 9), line(k + 8, 6)], [line(k + 9, 13)]][form]
+            more = ("", f"<h{2 + k % 3}>{{}}</h{2 + k % 3}><ul><li>{{}}</li></ul>", "<blockquote>{}</blockquote>")[form].format(*extra)
+            if k % 3 == 0:
+                extra, more = [*extra, line(k, 3), line(k + 1, 2), line(k + 4, 4)], more + f"<table><tr><td>{line(k, 3)}</td><td>{line(k + 1, 2)}</td></tr></table><pre>{line(k + 4, 4)}</pre>"
+            inner = f"<h1>{title}</h1>{paragraphs}{more}"
             holder = MAIN_NAMES[k % len(MAIN_NAMES)]
             whole = (f"<article>{inner}{part}</article>", f'<div class="{holder}">{inner}</div>{part}', f"{part}<main>{inner}</main>")[(k + form) % 3]
             form_ = '<form action="/s"><label>Search the site</label><input name="q"></form>'
-            out.append((f"<html><body><nav>{list_}</nav><header><p>{line(k + 5, 4)}</p></header>{whole}{form_}<footer><p>{line(k + 6, 8)}</p></footer></body></html>", "\n\n".join([title, *main])))
+            out.append((f"<html><body><nav>{list_}</nav><header><p>{line(k + 5, 4)}</p></header>{whole}{form_}<footer><p>{line(k + 6, 8)}</p></footer></body></html>", "\n\n".join([title, *main, *extra])))
     return out
 
 
 def fit_content_model(labelled: DataFrame, html: str = "html", text: str = "text") -> ContentModel:
     """Learn the potentials from labelled pages (null text: left out) beside the teaching pages. The caller bounds their number.
 
-    An element is content if nine tenths of its text lie in blocks of the labelled text. Each page also counts with its
+    An element is content if more than half of its text lies in blocks of the labelled text. Each page also counts with its
     landmark elements turned into ``div``, so that pages without them can be told by their other features. Counts are made
     per page in the tasks and added up by feature; only feature counts reach the driver.
     """
