@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import re
+import struct
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -18,49 +20,85 @@ from scenequarry.session import cut
 ODD_GAP = re.compile("[\x1c-\x1f]")
 GAP = re.compile("[\t-\r \x85\xa0  -     　]+")
 #: Words kept with their ids in a worker, and characters of text that are split at once.
-CACHE, SLICE = 300_000, 1_000_000
-
-_words: dict[str, dict[str, bytes]] = {}
-
-
-def encoded(texts: list[str], vocabulary: str) -> list[bytes]:
-    """Token ids of each text as little-endian 32-bit numbers.
-
-    The vocabulary drops white space and no token crosses it, so a text's ids are those of its words in order; each word
-    is encoded once and kept. Words that are new in a slice of texts are encoded as one batch.
-    """
-    from tokenizers import Tokenizer
-
-    known = _words.setdefault(vocabulary, {})
-    model, out = None, []
-    at = 0
-    while at < len(texts):
-        parts, n = [], 0
-        while at < len(texts) and (not parts or n + len(texts[at]) <= SLICE):
-            t = texts[at]
-            n += len(t)
-            parts.append([w for w in GAP.split(t) if w] if ODD_GAP.search(t) else t.split())
-            at += 1
-        new = list(set().union(*parts).difference(known))
-        if new:
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list(set().union(*parts))
-            model = model or _model(vocabulary, Tokenizer)
-            for k in range(0, len(new), 20_000):
-                some = new[k : k + 20_000]
-                known.update(zip(some, (np.array(e.ids, "<u4").tobytes() for e in model.encode_batch_fast(some, add_special_tokens=False)), strict=True))
-        out += [b"".join(map(known.__getitem__, p)) for p in parts]
-    return out
-
-
-_models: dict = {}
-
-
-def _model(vocabulary: str, kind):
-    if vocabulary not in _models:
-        _models[vocabulary] = kind.from_file(vocabulary)
-    return _models[vocabulary]
+CACHE, SLICE = 400_000, 1_000_000
+# Fixed value: how the vocabulary's own file splits words. With it, letters and the signs after them are two pieces.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SIMPLE = re.compile("([a-zß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Letters that stand for the UTF-8 bytes of the first 256 characters in byte-level vocabularies."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    stands = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return {c: "".join(stands[b] for b in chr(c).encode()) for c in range(256)}
+
+
+class WordIds:
+    """Token ids of words, each worked out once and kept; the vocabulary is a tokenizers file."""
+
+    def __init__(self, vocabulary: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_file(vocabulary)
+        spec = json.loads(self.model.to_str())
+        steps = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+        cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        self.simple = steps == ["NFC", "Replace", "Lowercase"] and [x.get("type") for x in cuts] == ["Split", "ByteLevel"] and cuts[0]["pattern"] == {"Regex": WORD_PATTERN} and not cuts[1]["add_prefix_space"]
+        self.letters = _byte_letters()
+        self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def part(self, text: str) -> bytes:
+        """Ids of a run of letters or signs, straight from the merges: nothing in it needs to be normalised or split."""
+        if (out := self.parts.get(text)) is None:
+            if len(self.parts) >= CACHE:
+                self.parts = {"": b""}
+            self.parts[text] = out = struct.pack(f"<{len(t)}I", *(x.id for x in t)) if (t := self.model.model.tokenize(text.translate(self.letters))) else b""
+        return out
+
+    def learn(self, words: set[str]) -> None:
+        rest = []
+        for w in words:
+            if self.simple and (m := SIMPLE.fullmatch(w.lower())):
+                self.known[w] = self.part(m[1]) + self.part(m[2])
+            else:
+                rest.append(w)
+        for k in range(0, len(rest), 20_000):
+            some = rest[k : k + 20_000]
+            self.known.update(zip(some, (np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch_fast(some, add_special_tokens=False)), strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit numbers.
+
+        The vocabulary drops white space and no token crosses it, so a text's ids are those of its words in order.
+        """
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            parts, n = [], 0
+            while at < len(texts) and (not parts or n + len(texts[at]) <= SLICE):
+                t = texts[at]
+                n += len(t)
+                parts.append([w for w in GAP.split(t) if w] if ODD_GAP.search(t) else t.split())
+                at += 1
+            new = set().union(*parts).difference(self.known)
+            if len(self.known) + len(new) > CACHE:
+                self.known.clear()
+                new = set().union(*parts)
+            self.learn(new)
+            out += [b"".join(map(self.known.__getitem__, p)) for p in parts]
+        return out
+
+
+_loaded: dict[str, WordIds] = {}
+
+
+def word_ids(vocabulary: str) -> WordIds:
+    """The worker's table for a vocabulary file."""
+    if vocabulary not in _loaded:
+        _loaded[vocabulary] = WordIds(vocabulary)
+    return _loaded[vocabulary]
 
 
 def token_pieces(assets: DataFrame, vocabulary: str, asset_id: str = "asset_id", notes: str = "notes", capacity: int = 2048, end_id: int = 0) -> DataFrame:
@@ -78,7 +116,7 @@ def token_pieces(assets: DataFrame, vocabulary: str, asset_id: str = "asset_id",
             owner, texts = b.column(0), [t or "" for t in b.column(1).to_pylist()]
             for k in range(0, len(texts), 500):
                 row, piece, start, length, ids = [], [], [], [], []
-                for i, e in enumerate(encoded(texts[k : k + 500], vocabulary), k):
+                for i, e in enumerate(word_ids(vocabulary).encode(texts[k : k + 500]), k):
                     e += end
                     for j in range(0, len(e), width):
                         part = e[j : j + width]
