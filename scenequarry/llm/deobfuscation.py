@@ -7,6 +7,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -71,17 +72,35 @@ def letter_counts(assets: DataFrame, notes: str = "notes") -> DataFrame:
     return assets.select(notes).mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def letter_model(counts: DataFrame, strength: float = 5.0) -> np.ndarray:
-    """Log probability of a letter after three others, backed off to shorter contexts; its size is fixed by the alphabet."""
-    n = np.zeros(SIZE**4)
-    for b in counts.toArrow().to_batches():
-        n[b.column(0).to_numpy()] += b.column(1).to_numpy()
-    n = n.reshape((SIZE,) * 4)
-    p = (n.sum((0, 1, 2)) + 1) / (n.sum() + SIZE)
-    for axes in ((0, 1), (0,), ()):
-        own = n.sum(axes) if axes else n
-        p = (own + strength * p) / (own.sum(-1, keepdims=True) + strength)
-    return np.log(p).astype(np.float32)
+class LetterModel:
+    """Log probability of a letter after three others, backed off to shorter contexts.
+
+    Counts travel as they are, a few bytes for each gram that occurs; ``table``, of a size that the alphabet fixes, is worked
+    out once by whoever needs it.
+    """
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, strength: float = 5.0) -> None:
+        self.grams, self.counts, self.strength = grams, counts, strength
+
+    @cached_property
+    def table(self) -> np.ndarray:
+        n = np.zeros(SIZE**4)
+        n[self.grams] = self.counts
+        n = n.reshape((SIZE,) * 4)
+        p = (n.sum((0, 1, 2)) + 1) / (n.sum() + SIZE)
+        for axes in ((0, 1), (0,), ()):
+            own = n.sum(axes) if axes else n
+            p = (own + self.strength * p) / (own.sum(-1, keepdims=True) + self.strength)
+        return np.log(p).astype(np.float32)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "table"}
+
+
+def letter_model(counts: DataFrame) -> LetterModel:
+    """The model of ``letter_counts``."""
+    t = counts.toArrow()
+    return LetterModel(t.column("gram").to_numpy(), t.column("n").to_numpy())
 
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
@@ -214,15 +233,15 @@ def all_features(letters: np.ndarray) -> Words:
 class ToxicityModel:
     """Each feature alone makes a note toxic with its own probability; ``base`` is that of a note without any."""
 
-    letters: np.ndarray
+    letters: LetterModel
     base: float = 0.01
     parts: dict[str, float] = field(default_factory=dict)
 
     def told(self) -> Words:
-        return Words(lambda t: [f for w in readings(t, self.letters) for f in features(w) if f in self.parts])
+        return Words(lambda t: [f for w in readings(t, self.letters.table) for f in features(w) if f in self.parts])
 
     def hits(self, text: str | None, words: Words) -> set[str]:
-        return words.of(text, self.letters, lambda w: [f for f in features(w) if f in self.parts]) if text else set()
+        return words.of(text, self.letters.table, lambda w: [f for f in features(w) if f in self.parts]) if text else set()
 
     def score(self, text: str | None, words: Words) -> float:
         clean = 1 - self.base
@@ -231,7 +250,7 @@ class ToxicityModel:
         return 1 - clean
 
 
-def fit_toxicity(labelled: DataFrame, letters: np.ndarray, notes: str = "notes", toxic: str = "toxic", candidates: int = 4000, rules: int = 256) -> ToxicityModel:
+def fit_toxicity(labelled: DataFrame, letters: LetterModel, notes: str = "notes", toxic: str = "toxic", candidates: int = 4000, rules: int = 256) -> ToxicityModel:
     """Learn from labelled notes (``toxic`` 0 or 1; null: left out). The caller bounds their number.
 
     Words and word beginnings of restored notes are counted by label. Those that toxic notes hold more often than chance
@@ -244,10 +263,10 @@ def fit_toxicity(labelled: DataFrame, letters: np.ndarray, notes: str = "notes",
     rows = cut(labelled.filter(F.col(toxic).isin(0, 1)).select(F.col(notes).alias("t"), (F.col(toxic) == 1).alias("y")))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bad, good, words = Counter(), Counter(), all_features(shared.value)
+        bad, good, words = Counter(), Counter(), all_features(shared.value.table)
         for b in batches:
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                (bad if y else good).update(words.of(t or "", shared.value, features))
+                (bad if y else good).update(words.of(t or "", shared.value.table, features))
         if bad or good:
             names = list(bad | good)
             yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([bad[f] for f in names], pa.int64()), pa.array([good[f] for f in names], pa.int64())], ["f", "b", "g"])
@@ -313,7 +332,7 @@ def score_notes(assets: DataFrame, model: ToxicityModel, notes: str = "notes", s
             texts = b.column(notes).to_pylist()
             more = [pa.array([shared.value.score(t, words) for t in texts], pa.float64())]
             if restored:
-                more.append(pa.array([restore(t or "", shared.value.letters) for t in texts], pa.string()))
+                more.append(pa.array([restore(t or "", shared.value.letters.table) for t in texts], pa.string()))
             yield pa.RecordBatch.from_arrays([*b.columns, *more], [*b.schema.names, *new])
 
     return kept.mapInArrow(run, schema)

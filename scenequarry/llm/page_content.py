@@ -217,7 +217,7 @@ class ContentModel:
         prior = pooled / pooled.sum(1, keepdims=True)
         for a, b in ((0, 5), (5, 9), (9, 13)):
             bins[a:b] /= bins[a:b].sum(0)
-        return cls(np.log(np.array([0.9, 0.1])), tags, np.log((steps + 4 * prior) / (steps.sum(2, keepdims=True) + 4)), tokens, np.log(bins))
+        return cls(np.log(np.array([0.5, 0.5])), tags, np.log((steps + 4 * prior) / (steps.sum(2, keepdims=True) + 4)), tokens, np.log(bins))
 
     def marginals(self, f: Forest) -> np.ndarray:
         """Chance of each element to be content: one pass from the leaves to the roots and one back, over all pages at once."""

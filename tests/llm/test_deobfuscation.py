@@ -7,11 +7,11 @@ HIDDEN = {"1d10t": "idiot", "m0r0n": "moron", "st*pid": "stupid", "p@thetic": "p
 
 def test_readings(letters):
     for token, word in HIDDEN.items():
-        assert word in X.readings(token, letters), token
+        assert word in X.readings(token, letters.table), token
     for plain in ("river", "River,", "boat!!", "went%%%", "***the***", "2024", "été", "the", "a", "1,000"):
-        assert X.reading(plain, letters) == X.WORD.findall(plain.lower()), plain
-    assert X.restore("you M 0 R 0 N went", letters) == "you moron went"
-    assert X.restore("", letters) == ""
+        assert X.reading(plain, letters.table) == X.WORD.findall(plain.lower()), plain
+    assert X.restore("you M 0 R 0 N went", letters.table) == "you moron went"
+    assert X.restore("", letters.table) == ""
 
 
 def test_viterbi_equals_all_paths(letters):
@@ -25,13 +25,13 @@ def test_viterbi_equals_all_paths(letters):
         s, a = -cost, (0, 0, 0)
         for ch in text:
             d = X.CODE.get(ch, X.OTHER)
-            s += float(letters[a][d])
+            s += float(letters.table[a][d])
             a = (*a[1:], d)
-        return s + float(letters[a][0])
+        return s + float(letters.table[a][0])
 
     for token in ("1d10t", "w0rth1e$$", "sssc8m", "l0$er", "b**t"):
         best = max(score(t, c) for t, c in paths(X.lattice(token)))
-        read = X.decode(token, letters)
+        read = X.decode(token, letters.table)
         assert np.isclose(max(score(t, c) for t, c in paths(X.lattice(token)) if t == read), best)
 
 
@@ -63,4 +63,4 @@ def test_nulls_empty_tables_and_long_notes(spark, letters):
     assert [round(r.toxicity, 3) for r in got] == [0.01, 0.01, 0.01, 0.901]
     assert X.score_notes(df.limit(0), model).collect() == []
     flat = X.letter_model(X.letter_counts(df.limit(0)))
-    assert np.allclose(np.exp(flat).sum(-1), 1, atol=1e-3)
+    assert np.allclose(np.exp(flat.table).sum(-1), 1, atol=1e-3)
