@@ -23,31 +23,42 @@ def _(load):
     return C.audit_keys(d, "BUILDING", used)
 
 
+_UPS = """o AS (SELECT CASE WHEN asset_id % 7 = 0 THEN NULL ELSE folder END AS folder, path, size, [lang, source] AS tags FROM assets WHERE asset_id % 3 <> 0),
+n AS (SELECT asset_id AS k, CASE WHEN asset_id % 7 = 0 THEN NULL ELSE folder END AS folder, path, CASE WHEN asset_id % 5 = 0 THEN NULL WHEN asset_id % 11 = 0 THEN 0 ELSE size*2 END AS size, [lang, 'new'] AS tags FROM assets WHERE asset_id % 2 = 0
+UNION ALL SELECT 1000000000 + asset_id, CASE WHEN asset_id % 7 = 0 THEN NULL ELSE folder END, path, CASE WHEN asset_id % 8 = 0 THEN 0 ELSE size*3 END, ['again'] FROM assets WHERE asset_id % 4 = 0),
+f AS (SELECT folder, path, arg_max(size, k) FILTER (size <> 0) AS size, flatten(list(tags ORDER BY k)) AS tags FROM n GROUP BY folder, path)"""
+
+
 @query(
     "asset_upsert", "assets",
-    """SELECT coalesce(a.folder, b.folder) AS folder, coalesce(a.path, b.path) AS path, coalesce(b.size, a.size) AS size, array_to_string(CASE WHEN a.path IS NULL THEN [b.lang, 'new'] WHEN b.path IS NULL THEN [a.lang, a.source] ELSE [a.lang, a.source, 'new'] END, ',') AS tags,
-CASE WHEN a.path IS NULL THEN 'added' WHEN b.path IS NULL THEN 'kept' ELSE 'updated' END AS state FROM (SELECT * FROM assets WHERE asset_id % 3 <> 0) a FULL JOIN (SELECT folder, path, lang, CASE WHEN asset_id % 5 = 0 THEN NULL ELSE size*2 END AS size FROM assets WHERE asset_id % 2 = 0) b ON a.folder = b.folder AND a.path = b.path""",
+    """SELECT CASE WHEN o.path IS NULL THEN f.folder ELSE o.folder END AS folder, coalesce(o.path, f.path) AS path, coalesce(f.size, o.size) AS size,
+(SELECT string_agg(t, ',' ORDER BY i) FROM (SELECT t, min(i) AS i FROM (SELECT unnest(list_concat(coalesce(o.tags, []), coalesce(f.tags, []))) AS t, generate_subscripts(list_concat(coalesce(o.tags, []), coalesce(f.tags, [])), 1) AS i) u GROUP BY t) d) AS tags,
+CASE WHEN o.path IS NULL THEN 'added' WHEN f.path IS NULL THEN 'kept' ELSE 'updated' END AS state FROM o FULL JOIN f ON o.folder IS NOT DISTINCT FROM f.folder AND o.path = f.path""",
+    then=_UPS,
 )
 def _(load):
-    a = load("assets")
+    a = load("assets").withColumn("folder", F.when(F.col("asset_id") % 7 != 0, F.col("folder")))
     old = a.filter("asset_id % 3 <> 0").select("folder", "path", "size", F.array("lang", "source").alias("tags"))
-    new = a.filter("asset_id % 2 = 0").select("folder", "path", F.when(F.col("asset_id") % 5 != 0, F.col("size") * 2).alias("size"), F.array("lang", F.lit("new")).alias("tags"))
-    u = C.upsert_assets(old, new, ["size"])
+    k = F.col("asset_id")
+    first = a.filter("asset_id % 2 = 0").select(k.alias("k"), "folder", "path", F.when(k % 5 == 0, None).when(k % 11 == 0, 0).otherwise(F.col("size") * 2).alias("size"), F.array("lang", F.lit("new")).alias("tags"))
+    again = a.filter("asset_id % 4 = 0").select((k + 1_000_000_000).alias("k"), "folder", "path", F.when(k % 8 == 0, 0).otherwise(F.col("size") * 3).alias("size"), F.array(F.lit("again")).alias("tags"))
+    u = C.upsert_assets(old, first.unionByName(again), ["size"], order="k")
     return u.select("folder", "path", "size", F.array_join("tags", ",").alias("tags"), "state")
 
 
-_LED = """led AS (SELECT user_id AS session_id, CASE WHEN event_type = 'purchase' THEN 'done' ELSE 'running' END AS status, event_id AS updated_at FROM events WHERE event_id % 2 = 0),
-upd AS (SELECT user_id AS session_id, CASE WHEN event_id % 3 = 0 THEN 'done' ELSE 'failed' END AS status, event_id AS updated_at FROM events WHERE event_id % 2 = 1),
-latest AS (SELECT session_id, max_by(status, updated_at) AS status, max(updated_at) AS updated_at FROM (SELECT * FROM led UNION ALL SELECT * FROM upd) q GROUP BY session_id)"""
+_LED = """led AS (SELECT user_id AS session_id, CASE WHEN event_type = 'purchase' THEN 'done' ELSE 'running' END AS status, event_id % 100 AS n_sets, event_id AS updated_at FROM events WHERE event_id % 2 = 0),
+upd AS (SELECT user_id AS session_id, CASE WHEN event_id % 3 = 0 THEN 'done' WHEN event_id % 3 = 1 THEN 'failed' END AS status, event_id AS updated_at FROM events WHERE event_id % 2 = 1),
+latest AS (SELECT session_id, arg_max(status, updated_at) FILTER (status IS NOT NULL) AS status, arg_max(n_sets, updated_at) FILTER (n_sets IS NOT NULL) AS n_sets, max(updated_at) AS updated_at
+FROM (SELECT * FROM led UNION ALL SELECT session_id, status, NULL, updated_at FROM upd) q GROUP BY session_id)"""
 
 
 def _ledger(load):
     e = load("events")
     led = e.filter("event_id % 2 = 0").select(
-        F.col("user_id").alias("session_id"), F.when(F.col("event_type") == "purchase", "done").otherwise("running").alias("status"), F.col("event_id").alias("updated_at")
+        F.col("user_id").alias("session_id"), F.when(F.col("event_type") == "purchase", "done").otherwise("running").alias("status"), (F.col("event_id") % 100).alias("n_sets"), F.col("event_id").alias("updated_at")
     )
     upd = e.filter("event_id % 2 = 1").select(
-        F.col("user_id").alias("session_id"), F.when(F.col("event_id") % 3 == 0, "done").otherwise("failed").alias("status"), F.col("event_id").alias("updated_at")
+        F.col("user_id").alias("session_id"), F.when(F.col("event_id") % 3 == 0, "done").when(F.col("event_id") % 3 == 1, "failed").alias("status"), F.col("event_id").alias("updated_at")
     )
     return C.upsert_ledger(led, upd)
 
@@ -62,22 +73,69 @@ def _(load):
     return C.pending_sessions(load("customer").select(F.col("c_custkey").alias("session_id")), _ledger(load))
 
 
+#: Names that meet each rule of the asset scan, by id.
+_NAMES = ("final.ply", "img.jpg", "mesh.obj", "run.CKPT", "iter_30.spz", "scene.usdz", "thumb.png", ".hidden", "guide.txt", "head", "iter-7.rad", "x.sog")
+_FOLDERS = ("data", "exports", "train_output", "iteration_7", "stuff", "reference")
+
+
+def _sql_list(items) -> str:
+    return "[" + ", ".join(f"'{x}'" for x in items) + "]"
+
+
+_SCAN = f"""f AS (SELECT asset_id, ({_sql_list(_FOLDERS)})[asset_id % 6 + 1] AS parent, ({_sql_list(_NAMES)})[CAST(floor(asset_id / 6e0) AS BIGINT) % 12 + 1] AS name,
+CASE asset_id % 5 WHEN 0 THEN '706C790A' WHEN 1 THEN '53505A01' WHEN 2 THEN '00' END AS head FROM assets),
+e AS (SELECT *, lower(regexp_extract(name, '[^/]\\.([^./]+)$', 1)) AS ext FROM f),
+h AS (SELECT *, CASE head WHEN '706C790A' THEN 'ply' WHEN '53505A01' THEN 'spz' END AS proved, CASE WHEN ext IN ('ply','spz','sog','rad') THEN ext WHEN ext = 'obj' THEN 'mesh' WHEN ext = 'ckpt' THEN 'checkpoint' WHEN ext = 'usdz' THEN 'usd' END AS byext FROM e),
+t AS (SELECT *, CASE WHEN byext IS NULL OR byext IN ('ply','spz') THEN coalesce(proved, byext) ELSE byext END AS type FROM h)"""
+
+
+def _role_sql(column: str) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches(lower({column}), '{pattern}') THEN '{role}'" for role, pattern in C.ROLE_NAMES) + " END"
+
+
 @query(
     "classify_assets", "assets",
-    """SELECT asset_id, ext AS extension, CASE WHEN ext IN ('ply','sog') THEN 'splat' WHEN ext = 'jpg' THEN 'image' WHEN ext = 'mp4' THEN 'video' WHEN ext = 'obj' THEN 'mesh' ELSE 'data' END AS kind,
-CASE WHEN ext IN ('ply','sog') THEN 'trained_output' WHEN ext = 'mp4' THEN 'source_video' WHEN ext = 'obj' THEN 'export' ELSE 'reference' END AS role FROM (SELECT asset_id, regexp_extract(path, '\\.([a-z0-9]+)$', 1) AS ext FROM assets) q""",
+    f"""SELECT asset_id, ext AS extension, type, coalesce({_role_sql("name")}, {_role_sql("parent")}, CASE WHEN type = 'checkpoint' THEN 'training_checkpoint' WHEN type IN ('ply','rad','sog','spz') THEN 'trained_output' END, 'unknown') AS role FROM t""",
+    then=_SCAN,
 )
 def _(load):
-    return C.classify_files(load("assets")).select("asset_id", "extension", "kind", "role")
+    i = F.col("asset_id")
+    pick = lambda items, k: F.get(F.array(*[F.lit(x) for x in items]), k.cast("int"))
+    head = F.when(i % 5 == 0, F.unhex(F.lit("706C790A"))).when(i % 5 == 1, F.unhex(F.lit("53505A01"))).when(i % 5 == 2, F.unhex(F.lit("00")))
+    path = F.concat(F.lit("/root/"), pick(_FOLDERS, i % 6), F.lit("/"), pick(_NAMES, F.floor(i / 6) % 12))
+    return C.classify_files(load("assets").select("asset_id", path.alias("path"), head.alias("head")), header="head").select("asset_id", "extension", "type", "role")
+
+
+#: A file of a dataset by (dataset kind, file kind); null: no such file.
+_FILES = (
+    ("images/a{}.jpg", "images/sub/b{}.PNG", "images/masks/c{}.jpg", "masks/m{}.png", "sparse/0/cameras.bin"),
+    ("sparse/images.txt", "readme{}.md", "sparse/p{}.jpg", "database.db", "depth/d{}.png"),
+    ("photos/a{}.jpg", "photos/b{}.tif", "cameras.txt", "images.txt", "masks/m{}.png"),
+    ("photos/a{}.jpg", "cameras.txt", "notes{}.txt", "images/sub/c{}.jpg", "masks/m{}.png"),
+)
+_SETS = """x AS (SELECT asset_id, source || '_' || CAST(asset_id % 4 AS VARCHAR) AS dataset, asset_id % 4 AS kind, CAST(floor(asset_id / 4e0) AS BIGINT) % 5 AS j FROM assets),
+p AS (SELECT dataset, replace(CASE kind * 5 + j """ + " ".join(f"WHEN {k * 5 + j} THEN '{f}'" for k, row in enumerate(_FILES) for j, f in enumerate(row)) + """ END, '{}', CAST(asset_id AS VARCHAR)) AS path FROM x),
+i AS (SELECT dataset, path, regexp_matches(lower(path), '\\.(jpg|jpeg|png|tiff|tif|bmp|webp|exr)$') AS img, regexp_matches(lower(path), '\\.(jpg|jpeg)$') AS jpg, path LIKE 'images/%' AS root,
+regexp_matches(lower(CASE WHEN path LIKE 'images/%' THEN substr(path, 8) ELSE path END), '(^|/)(masks?|sparse|dense|stereo|depths?|images_reconstruction|reconstruction|__pycache__)/') AS off FROM p),
+g AS (SELECT dataset, bool_or(root) AS rooted, bool_or(img AND regexp_matches(path, '^images/[^/]+$')) AS direct, count(*) FILTER (img AND root AND NOT off) AS below, count(*) FILTER (img AND NOT off) AS anyimg,
+count(*) FILTER (jpg AND root AND NOT off) AS jbelow, count(*) FILTER (jpg AND NOT off) AS jany, bool_or(regexp_matches(path, '^sparse/(0/)?(cameras|images|points3D)\\.(bin|txt)$')) AS model, bool_or(path LIKE 'sparse/%') AS sparse,
+bool_or(path LIKE 'masks/%') AS masks, bool_or(path = 'database.db') AS db, bool_or(path = 'cameras.txt') AND bool_or(path = 'images.txt') AS txt FROM i GROUP BY dataset),
+l AS (SELECT *, direct OR model OR db OR txt AS looks, CASE WHEN NOT (direct OR model OR db OR txt) THEN 0 WHEN rooted THEN below ELSE anyimg END AS n, CASE WHEN rooted THEN jbelow ELSE jany END AS j FROM g)"""
 
 
 @query(
     "dataset_inventory", "assets",
-    """SELECT source AS dataset, count(*) FILTER (asset_id % 6 = 1) AS images, 0 AS masks, CASE WHEN count(*) FILTER (asset_id % 6 = 1) > 0 THEN true ELSE false END AS is_valid FROM assets GROUP BY source""",
+    """SELECT dataset, n AS image_count, looks AND sparse AS has_sparse, looks AND masks AS has_masks, CASE WHEN n > 0 THEN (n - j) * 1e0 / n ELSE 0e0 END AS non_jpeg_ratio, looks AND (n > 0 OR sparse OR db OR txt) AS is_valid,
+concat_ws(';', CASE WHEN NOT looks OR (n = 0 AND NOT (sparse OR db OR txt)) THEN 'No images or sparse model found' END, CASE WHEN looks AND n = 0 AND (sparse OR db OR txt) THEN 'No images found, but COLMAP data exists' END,
+CASE WHEN n > 0 AND n < 3 THEN 'Very few images (' || CAST(n AS VARCHAR) || '), may not reconstruct well' END) AS issues FROM l""",
+    then=_SETS,
 )
 def _(load):
-    f = C.classify_files(load("assets").withColumnRenamed("source", "dataset"))
-    return C.dataset_inventory(f).select("dataset", "images", "masks", "is_valid")
+    i = F.col("asset_id")
+    flat = F.array(*[F.lit(f) for row in _FILES for f in row])
+    path = F.replace(F.get(flat, ((i % 4) * 5 + F.floor(i / 4) % 5).cast("int")), F.lit("{}"), i.cast("string"))
+    files = load("assets").select(F.concat("source", F.lit("_"), (i % 4).cast("string")).alias("dataset"), path.alias("path"))
+    return C.dataset_inventory(files).withColumn("issues", F.array_join("issues", ";"))
 
 
 @query(

@@ -383,6 +383,24 @@ def _(load):
     )
 
 
+@query(
+    "orbit_matrices", "splats",
+    """SELECT scene_id, view_index, k, round(CASE k WHEN 0 THEN rx WHEN 1 THEN ry WHEN 2 THEN rz WHEN 3 THEN -(rx*ex+ry*ey+rz*ez) WHEN 4 THEN ux WHEN 5 THEN uy WHEN 6 THEN uz WHEN 7 THEN -(ux*ex+uy*ey+uz*ez)
+WHEN 8 THEN dx WHEN 9 THEN dy WHEN 10 THEN dz WHEN 11 THEN -(dx*ex+dy*ey+dz*ez) WHEN 15 THEN 1e0 ELSE 0e0 END, 6) + 0e0 AS v, label FROM (SELECT *, ry*dz2 - rz*dy2 AS ux, rz*dx2 - rx*dz2 AS uy, rx*dy2 - ry*dx2 AS uz FROM
+(SELECT *, (fy*upz - fz*upy)/l AS rx, (fz*upx - fx*upz)/l AS ry, (fx*upy - fy*upx)/l AS rz, fx AS dx2, fy AS dy2, fz AS dz2, -fx AS dx, -fy AS dy, -fz AS dz FROM
+(SELECT *, sqrt((fy*upz - fz*upy)*(fy*upz - fz*upy) + (fz*upx - fx*upz)*(fz*upx - fx*upz) + (fx*upy - fy*upx)*(fx*upy - fy*upx)) AS l FROM
+(SELECT scene_id, view_index, label, -cos(radians(el))*sin(radians(az)) AS fx, -sin(radians(el)) AS fy, -cos(radians(el))*cos(radians(az)) AS fz, mx+2e0*cos(radians(el))*sin(radians(az)) AS ex, my+2e0*sin(radians(el)) AS ey, mz+2e0*cos(radians(el))*cos(radians(az)) AS ez,
+0e0 AS upx, CASE WHEN abs(el) > 75 THEN 0e0 ELSE 1e0 END AS upy, CASE WHEN abs(el) <= 75 THEN 0e0 WHEN el > 0 THEN -1e0 ELSE 1e0 END AS upz
+FROM (SELECT scene_id, avg(x) AS mx, avg(y) AS my, avg(z) AS mz FROM splats GROUP BY scene_id) s,
+(VALUES (0,0e0,0e0,'front'),(1,90e0,0e0,'left'),(2,180e0,0e0,'back'),(3,270e0,0e0,'right'),(4,45e0,30e0,'front_left_up'),(5,135e0,30e0,'back_left_up'),(6,225e0,30e0,'back_right_up'),(7,315e0,30e0,'front_right_up'),
+(8,0e0,80e0,'top_front'),(9,180e0,80e0,'top_back'),(10,0e0,-30e0,'bottom_front'),(11,180e0,-30e0,'bottom_back')) w(view_index, az, el, label)) a) b) c) d, (SELECT unnest(range(16)) AS k) e""",
+)
+def _(load):
+    c = load("splats").groupBy("scene_id").agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"), F.avg("z").alias("cz"))
+    o = C.orbit_cameras(c, "hunyuan_mv", 2.0, 12)
+    return o.select("scene_id", "view_index", "label", F.posexplode("view_matrix").alias("k", "v")).withColumn("v", rd(F.col("v"), "v"))
+
+
 @query(
     "clean_names", "",
     """SELECT p_partkey, CASE WHEN regexp_matches(s, '^[A-Za-z_]') THEN s ELSE '_' || s END AS clean FROM

@@ -126,7 +126,7 @@ def _(load):
 
 @query(
     "pooled_frames", "",
-    "SELECT event_id, 'set' || lpad(CAST(dense_rank() OVER (PARTITION BY user_id ORDER BY event_type) AS VARCHAR), 2, '0') || '_frame_' || lpad(CAST(event_id AS VARCHAR), 6, '0') AS name FROM events",
+    "SELECT event_id, 'set' || lpad(CAST(dense_rank() OVER (PARTITION BY user_id ORDER BY event_type) - 1 AS VARCHAR), 2, '0') || '_frame_' || lpad(CAST(event_id AS VARCHAR), 6, '0') AS name FROM events",
 )
 def _(load):
     from scenequarry.operators.catalog import pool_videos
