@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scenequarry.llm.components import ranked
+from scenequarry.llm.shipping import ship
 from scenequarry.session import cut
 
 #: Separators that str.split() knows and the tokenizer's own pattern doesn't.
@@ -108,6 +109,7 @@ def token_pieces(assets: DataFrame, vocabulary: str, asset_id: str = "asset_id",
     alone. Only longer notes are cut, into pieces of ``capacity`` tokens; the last may be shorter. ``vocabulary`` is a
     tokenizers file that each worker can read, whose tokens don't cross white space. Repeated rows give repeated pieces.
     """
+    ship(assets.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
     width = 4 * capacity
 
@@ -183,6 +185,7 @@ def pack_pieces(pieces: DataFrame, order: list[str], capacity: int = 2048) -> Da
     already named ``sequence_id`` or ``offset`` is replaced. A length beyond ``capacity`` or below 1, or null, is an error.
     """
     spark = pieces.sparkSession
+    ship(spark)
     laid = ranked(cut(pieces.drop("sequence_id", "offset")), "length", order, "_rank")
     counts = {r[0]: r[1] for r in laid.groupBy("length").count().collect()}
     if any(n is None or not 0 < n <= capacity for n in counts):

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scenequarry.llm.shipping import ship
 from scenequarry.session import cut
 
 # Signs and the letters that they stand for.
@@ -47,6 +48,7 @@ def letter_counts(assets: DataFrame, notes: str = "notes") -> DataFrame:
     A word starts and ends with three boundary signs; a gram is a number to the base of the alphabet. Each task counts
     its own rows in one array of fixed size, and the counts are added up by gram. Null notes count for nothing.
     """
+    ship(assets.sparkSession)
     table = np.full(0x250, OTHER, np.int32)
     for i in range(0x250):
         c = chr(i).lower()
@@ -259,6 +261,7 @@ def fit_toxicity(labelled: DataFrame, letters: LetterModel, notes: str = "notes"
     part is the smoothed share of toxic notes among those that hold it, and parts combine as independent causes (noisy
     or). Without toxic labels each note gets the smoothed base rate.
     """
+    ship(labelled.sparkSession)
     shared = labelled.sparkSession.sparkContext.broadcast(letters)
     rows = cut(labelled.filter(F.col(toxic).isin(0, 1)).select(F.col(notes).alias("t"), (F.col(toxic) == 1).alias("y")))
 
@@ -321,6 +324,7 @@ def score_notes(assets: DataFrame, model: ToxicityModel, notes: str = "notes", s
 
     A null or empty note gets the score of a note without any feature. Other columns stay; columns of these names are replaced.
     """
+    ship(assets.sparkSession)
     shared = assets.sparkSession.sparkContext.broadcast(model)
     new = [score] + ([restored] if restored else [])
     kept = assets.drop(*new)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from scenequarry.llm.cells import cells
 from scenequarry.llm.components import connected
+from scenequarry.llm.shipping import ship
 from scenequarry.session import cut
 
 SEED = 42
@@ -44,6 +45,7 @@ def caption_phash(frames: DataFrame, caption: str = "caption", phash: str = "pha
     a shorter caption is one shingle. Bit i is set when more than half of the shingles' XXH64 values (seed 42) have it
     set. A null or empty caption has fingerprint 0. A column that is already named ``phash`` is replaced.
     """
+    ship(frames.sparkSession)
     kept = [c for c in frames.columns if c != phash]
     schema = T.StructType([*frames.select(*kept).schema.fields, T.StructField(phash, T.LongType())])
 
@@ -136,6 +138,7 @@ def linked_hashes(codes: DataFrame, phash: str = "phash", bits: int = 4, leaf: i
     does not depend on them. A cell returns a spanning forest of its links, not all pairs.
     """
     spark = codes.sparkSession
+    ship(spark)
     own = cut(codes.select(F.col(phash).alias("code")).filter("code IS NOT NULL").distinct())
     n = own.count()
     depth = max(0, int(np.ceil(np.log2(max(n, 1) / leaf))))

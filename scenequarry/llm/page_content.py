@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scenequarry.llm.shipping import ship
+
 TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -339,6 +341,7 @@ def fit_content_model(labelled: DataFrame, html: str = "html", text: str = "text
         rows = list(total.items())
         yield pa.RecordBatch.from_arrays([pa.array([r[0][0] for r in rows], pa.string()), pa.array([r[0][1] for r in rows], pa.string()), pa.array([r[0][2] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64())], ["kind", "name", "y", "n"])
 
+    ship(labelled.sparkSession)
     rows = labelled.filter(F.col(html).isNotNull() & F.col(text).isNotNull()).select(html, text)
     sums = rows.mapInArrow(count, "kind string, name string, y int, n long").groupBy("kind", "name", "y").agg(F.sum("n").alias("n"))
     # names of parts that only a few pages use tell nothing
@@ -365,6 +368,7 @@ def self_labelled(pages: DataFrame, bound: int = 2000, page_id: str = "page_id",
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([landmark_text(h) for h in b.column(0).to_pylist()], pa.string())], ["html", "text"])
 
     spark: SparkSession = pages.sparkSession
+    ship(spark)
     drawn = pages.filter(F.col(html).isNotNull()).select(F.xxhash64(page_id, html).alias("_h")).orderBy("_h").limit(bound)
     last = drawn.agg(F.max("_h")).first()[0]
     if last is None:
@@ -391,6 +395,7 @@ def extract_pages(pages: DataFrame, model: ContentModel, html: str = "html", tex
     inside a block becomes one space, blocks come in page order, joined by two line ends; character references are decoded
     once. Null or empty pages, and pages without content, have an empty text. Other columns stay; ``text`` is replaced.
     """
+    ship(pages.sparkSession)
     shared = pages.sparkSession.sparkContext.broadcast(model)
     kept = pages.drop(text)
 

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scenequarry.llm.shipping import ship
+
 MARK = "▁"
 # Fixed values of the model file: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -212,6 +214,7 @@ def encode_strings(strings: DataFrame, model: str, value: str = "value", ids: st
     Null and empty values have no ids. Ids equal those of the sentencepiece library for the same model file. Other columns
     stay; an existing column ``ids`` is replaced.
     """
+    ship(strings.sparkSession)
     kept = strings.drop(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,6 +235,7 @@ def decode_strings(coded: DataFrame, model: str, ids: str = "ids", decoded: str
 
     The marker at the start is taken away, byte pieces are put together; bytes that are no UTF-8 become U+FFFD.
     """
+    ship(coded.sparkSession)
     kept = coded.drop(decoded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
