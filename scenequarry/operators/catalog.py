@@ -105,10 +105,6 @@ def repeat_rows(df: DataFrame, times: int) -> DataFrame:
     return df.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(times - 1))))
 
 
-def stack_columns(df: DataFrame, columns: Sequence[str], out: str = "vec") -> DataFrame:
-    return df.withColumn(out, F.array(*columns))
-
-
 # Asset type by file extension.
 ASSET_TYPES = {
     "ply": "ply", "rad": "rad", "sog": "sog", "spz": "spz", "obj": "mesh", "fbx": "mesh", "gltf": "mesh", "glb": "mesh", "stl": "mesh", "dae": "mesh", "3ds": "mesh", "mesh": "mesh",

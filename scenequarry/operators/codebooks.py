@@ -74,11 +74,20 @@ def palette_size(n: int) -> int:
 def kmeans(
     df: DataFrame, id_col: str, vec: str, k: int, iterations: int = 10, seed: int = 0, direct_limit: int = 256
 ) -> tuple[DataFrame, DataFrame]:
-    """(centroids: code, centre; labels: id, code). Beyond ``direct_limit`` codes a coarse model splits the data first and
+    """(centroids: code, centre; labels: id, code), exactly k codes, or one per row if there are no more than k rows.
 
-    each coarse cell is refined by grid-free Lloyd rounds on its own share of codes, so no step compares a row with all k.
+    Up to ``direct_limit`` codes, a parameter of the cost and not of the result's form, rows are compared with all codes.
+    Beyond it a coarse model splits the data first and each coarse cell is refined by Lloyd rounds on its own share of codes,
+    so no step compares a row with all k.
     """
-    data = df.select(id_col, array_to_vector(F.transform(vec, lambda v: v.cast("double"))).alias("features"))
+    rows = df.select(id_col, F.transform(vec, lambda v: v.cast("double")).alias("v"))
+    if rows.limit(k + 1).count() <= k:
+        # every row is its own code
+        from scenequarry.operators.scale import rank_rows
+
+        own = cut(rank_rows(rows.withColumn("_one", F.lit(0)), ["_one"], [id_col], "_rn").withColumn("code", (F.col("_rn") - 1).cast("int")))
+        return own.select("code", F.col("v").alias("centre")), own.select(id_col, "code")
+    data = rows.select(id_col, array_to_vector("v").alias("features"))
     first = min(k, direct_limit)
     model = KMeans(k=first, maxIter=iterations, seed=seed, initMode="random", featuresCol="features", predictionCol="code").fit(data)
     labelled = model.transform(data)
@@ -93,18 +102,30 @@ def kmeans(
 
 def _refine(rows: DataFrame, id_col: str, k: int, cells: int, iterations: int) -> tuple[DataFrame, DataFrame]:
     """Split each coarse cell into its share of k by Lloyd rounds over that cell's codes only."""
-    rows = cut(rows)
-    total = rows.count()
-    sizes = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    share = sizes.select("cell", F.greatest(F.lit(1), F.least(F.col("n"), F.round(F.col("n") * (k / total)).cast("long"))).alias("share"))
-    # starting codes: the rows of each cell with the smallest keyed hash, as many as its share (bounded by k in all)
-    from scenequarry.operators.ordering import random_rows
-    from scenequarry.operators.scale import attach, rank_rows
     from scenequarry.functions.elementwise import key_uniform
+    from scenequarry.operators.scale import attach, rank_rows
 
-    drawn = random_rows(rows.select("cell", id_col, "v"), ["cell"], max(1, math.ceil(4 * k / cells)), id_col, 17)
-    drawn = rank_rows(drawn.withColumn("_u", key_uniform(17, F.col(id_col), 6)), ["cell"], ["_u", id_col], "_rn")
-    codes = cut(drawn.join(share, "cell").filter(F.col("_rn") <= F.col("share")).select("cell", F.col("_rn").alias("j"), F.col("v").alias("c")))
+    rows = cut(rows)
+    # at most ``cells`` rows: each cell's share of k by largest remainder, never more than its rows
+    sizes = {r.cell: r.n for r in rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total, k = sum(sizes.values()), min(k, sum(sizes.values()))
+    shares = {c: min(n, max(1, int(n * k / total))) for c, n in sizes.items()}
+    order = sorted(sizes, key=lambda c: (-(sizes[c] * k / total) % 1, c))
+    while (over := sum(shares.values()) - k) != 0:
+        for c in order[::-1] if over > 0 else order:
+            if over > 0 and shares[c] > 1:
+                shares[c], over = shares[c] - 1, over - 1
+            elif over < 0 and shares[c] < sizes[c]:
+                shares[c], over = shares[c] + 1, over + 1
+            if not over:
+                break
+        else:
+            if all(s == 1 for s in shares.values()):
+                break
+    share = rows.sparkSession.createDataFrame(list(shares.items()), "cell int, share long")
+    # starting codes: the rows of each cell with the smallest keyed hash, as many as its share
+    drawn = rank_rows(rows.withColumn("_u", key_uniform(17, F.col(id_col), 6)), ["cell"], ["_u", id_col], "_rn")
+    codes = cut(attach(drawn, share, ["cell"], materialise=False).filter(F.col("_rn") <= F.col("share")).select("cell", F.col("_rn").alias("j"), F.col("v").alias("c")))
     for it in range(max(1, iterations)):
         table = codes.groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("j", "c"))).alias("codes"))
         near = attach(rows, table, ["cell"], max_rows=2_000, materialise=False)

@@ -76,7 +76,7 @@ def similar_hashes(frames: DataFrame, distance: int = 8, key: str = "session_id"
 
 def near_duplicates(frames: DataFrame, distance: int = 8, key: str = "session_id") -> DataFrame:
     """Adds ``duplicate_of``: the earliest earlier frame of the session within ``distance`` bits, if any."""
-    pairs = cut(similar_hashes(frames, distance, key))
+    pairs = cut(similar_hashes(frames.filter(F.col("phash").isNotNull()), distance, key))
     near = pairs.select(key, F.col("h1").alias("phash"), F.col("first2").alias("f")).unionByName(
         pairs.select(key, F.col("h2").alias("phash"), F.col("first1").alias("f"))
     )
@@ -96,16 +96,19 @@ def mark_duplicates(frames: DataFrame, distance: int = 8, key: str = "session_id
     """Adds ``is_duplicate``: in frame order, a kept frame suppresses later frames closer than ``distance`` bits.
 
     Copies of one hash follow its first frame: either that frame is kept and suppresses them, or whatever suppressed it is
-    earlier and as close to them. So the sequential rule runs on distinct hashes, ordered by first frame.
+    earlier and as close to them. So the sequential rule runs on distinct hashes, ordered by first frame. Frames without a
+    hash (unreadable images) are no duplicates and suppress nothing.
     """
     from scenequarry.operators.graphs import first_fit_independent_set
 
-    pairs = similar_hashes(frames, distance - 1, key)
+    hashed = frames.filter(F.col("phash").isNotNull())
+    pairs = similar_hashes(hashed, distance - 1, key)
     ordered = pairs.select(key, F.least("first1", "first2").alias("u"), F.greatest("first1", "first2").alias("v"))
-    first = frames.groupBy(key, "phash").agg(F.min("frame_index").alias("id"))
+    first = hashed.groupBy(key, "phash").agg(F.min("frame_index").alias("id"))
     marked = first_fit_independent_set(first, ordered, [key])
-    j = frames.join(marked.select(key, "phash", F.col("id").alias("_first"), "suppressed"), [key, "phash"])
-    return j.withColumn("is_duplicate", F.col("suppressed") | (F.col("frame_index") > F.col("_first"))).drop("_first", "suppressed")
+    j = frames.join(marked.select(key, "phash", F.col("id").alias("_first"), "suppressed"), [key, "phash"], "left")
+    hit = F.col("suppressed") | (F.col("frame_index") > F.col("_first"))
+    return j.withColumn("is_duplicate", F.coalesce(hit, F.lit(False))).drop("_first", "suppressed")
 
 
 # ------------------------------------------------------------------ people and candidates

@@ -116,11 +116,12 @@ def cluster_vertices(
 
 
 def face_components(faces: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Component (smallest face id) of each face; faces are connected when they share an edge."""
+    """Component (smallest face id) of each face; faces are connected by edges that exactly two faces share."""
     keys = list(keys)
     e = mesh_edges(faces, keys)
-    first = e.groupBy(*keys, "a", "b").agg(F.min("face_id").alias("_f"))
-    links = e.join(first, [*keys, "a", "b"]).select(*keys, F.col("face_id").alias("u"), F.col("_f").alias("v"))
+    shared = e.groupBy(*keys, "a", "b").agg(F.count(F.lit(1)).alias("_n"), F.min("face_id").alias("u"), F.max("face_id").alias("v")).filter("_n = 2")
+    alone = faces.select(*keys, F.col("face_id").alias("u"), F.col("face_id").alias("v"))
+    links = shared.select(*keys, "u", "v").unionByName(alone)
     return connected_components(links, keys).withColumnRenamed("id", "face_id")
 
 

@@ -57,7 +57,7 @@ class Buckets:
 
 
 def _split_position(splits: Column, row: Column, n: int) -> Column:
-    """How many entries of the sorted array ``splits`` are below ``row`` (binary search by halving steps)."""
+    """How many entries of the sorted array ``splits`` are below ``row`` (binary search by halving steps); ``n`` bounds its size."""
     step, steps = 1, []
     while step <= n:
         steps.append(step)
@@ -72,31 +72,48 @@ def _split_position(splits: Column, row: Column, n: int) -> Column:
     )
 
 
+def _cut_large(df: DataFrame, keys: list[str], order: list[str], large: DataFrame, limit: int) -> DataFrame:
+    """``df`` with ``_sub``: the ordered part of its key, 0 in keys that ``large`` (keys, _n) doesn't name."""
+    row = F.struct(*[F.col(c) for c in order])
+    wanted = F.least(F.ceil(F.col("_n") / F.lit(limit)) * 2, F.lit(SPLITS_PER_GROUP))
+    # the upper 63 bits of the hash as a share of one: so many rows are drawn as are wanted, however large the key is
+    share = F.shiftrightunsigned(F.xxhash64(*[F.col(c) for c in keys + order]), 1).cast("double") / F.lit(2.0**63)
+    drawn = attach(df.select(*keys, *order), large, keys, materialise=False).filter(share * F.col("_n") < wanted)
+    splits = cut(drawn.groupBy(*keys).agg(F.array_sort(F.collect_set(row)).alias("_splits")))
+    longest = splits.agg(F.max(F.size("_splits"))).first()[0] or 0
+    out = attach(df, splits, keys, how="left", max_rows=2_000, materialise=False)
+    return out.withColumn("_sub", F.when(F.col("_splits").isNull(), F.lit(0)).otherwise(_split_position(F.col("_splits"), row, longest)).cast("long")).drop("_splits")
+
+
 def with_buckets(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_bucket: int | None = None
 ) -> Buckets:
     """Number ordered buckets inside every key. Keys up to ``rows_per_bucket`` rows stay whole.
 
-    Larger keys are cut at split rows drawn by a hash of the row itself, so a recomputed task makes the same buckets.
-    ``order`` columns are ascending; with a unique last column heavy ties are split as well.
+    Larger keys are cut at split rows drawn by a hash of the row itself, so a recomputed task makes the same buckets. At most
+    about ``SPLITS_PER_GROUP`` splits are drawn at once; buckets that are still far too large are cut again within
+    themselves, so their number has no limit while no row carries a long list of splits. ``order`` columns are ascending;
+    with a unique last column heavy ties are split as well.
     """
     keys, order = list(keys), list(order)
     limit = rows_per_bucket or ROWS_PER_BUCKET
     large = cut(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit))
     if large.isEmpty():
         return Buckets(df.withColumn("_b", F.lit(0)), keys, order, False)
-    row = F.struct(*[F.col(c) for c in order])
-    wanted = F.least(F.ceil(F.col("_n") / F.lit(limit)) * 2, F.lit(SPLITS_PER_GROUP))
-    drawn = attach(df.select(*keys, *order), large, keys, materialise=False).filter(
-        F.pmod(F.xxhash64(*[F.col(c) for c in keys + order]), F.lit(1_000_003)) * F.col("_n")
-        < wanted * F.lit(1_000_003)
-    )
-    splits = drawn.groupBy(*keys).agg(F.array_sort(F.collect_set(row)).alias("_splits"))
-    cols = df.columns
-    out = attach(df, splits, keys, how="left", max_rows=2_000)
-    position = _split_position(F.col("_splits"), row, SPLITS_PER_GROUP * 2)
-    out = out.withColumn("_b", F.when(F.col("_splits").isNull(), F.lit(0)).otherwise(position)).select(*cols, "_b")
-    return Buckets(out, keys, order, True)
+    out = _cut_large(df, keys, order, large, limit).withColumnRenamed("_sub", "_b")
+    factor = 8 * SPLITS_PER_GROUP
+    before = None
+    # a second level is needed only where one level of splits can't have been enough
+    while not large.filter(F.col("_n") > F.lit(limit) * F.lit(SPLITS_PER_GROUP // 2)).isEmpty():
+        out = cut(out)
+        sizes = out.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*order)).alias("_lo"), F.max(F.struct(*order)).alias("_hi"))
+        large = cut(sizes.filter((F.col("_n") > F.lit(4 * limit)) & (F.col("_lo") < F.col("_hi"))).select(*keys, "_b", "_n"))
+        now = large.agg(F.sum("_n")).first()[0]
+        if now is None or now == before:
+            break
+        before = now
+        out = _cut_large(out, [*keys, "_b"], order, large, limit).withColumn("_b", F.col("_b") * factor + F.col("_sub")).drop("_sub")
+    return Buckets(out.select(*df.columns, "_b"), keys, order, True)
 
 
 def _before(summary: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
@@ -332,8 +349,3 @@ def take_smallest(
     below = marked.filter(F.col(value) < F.col("_cut")).select(*df.columns)
     equal = rank_rows(marked.filter(F.col(value) == F.col("_cut")), keys, [tie], "_rn", rows_per_bucket)
     return below.unionByName(equal.filter(F.col("_rn") <= F.col("_ties")).select(*df.columns))
-
-
-def group_totals_fit(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows

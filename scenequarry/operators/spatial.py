@@ -345,15 +345,17 @@ def init_from_points(points: DataFrame, keys: Sequence[str], id_col: str) -> Dat
     )
 
 
-def pair_distances(rows: DataFrame, refs: DataFrame, p: float, left_id: str, right_id: str, vec: str = "embedding", max_refs: int = 2_000) -> DataFrame:
-    """p-norm distances of each row to a reference set whose size is checked; larger sets belong in the radius join."""
-    n = refs.limit(max_refs + 1).count()
-    if n > max_refs:
-        raise ValueError(f"the reference side has more than {max_refs} rows; use a radius or nearest-neighbour join")
-    r = refs.select(F.col(left_id).alias(right_id), F.col(vec).alias("_rv")).agg(
-        F.collect_list(F.struct(right_id, "_rv")).alias("_refs")
-    )
-    j = rows.select(left_id, vec).join(F.broadcast(r)).withColumn("_r", F.explode("_refs"))
+def pair_distances(rows: DataFrame, refs: DataFrame, p: float, left_id: str, right_id: str, vec: str = "embedding", block_rows: int = 2_000, max_distance: float | None = None) -> DataFrame:
+    """p-norm distances of each row to each reference row, or to those within ``max_distance``.
+
+    References are packed into blocks of about ``block_rows`` by hash; a row meets each block once, so the joined sides hold
+    rows times blocks, and the full table of pairs exists only if it is what was asked for.
+    """
+    own = refs.select(F.col(left_id).alias(right_id), F.col(vec).alias("_rv"))
+    blocks = max(1, -(-own.count() // block_rows))
+    packed = own.groupBy(F.pmod(F.xxhash64(right_id, "_rv"), F.lit(blocks)).cast("int").alias("_b")).agg(F.collect_list(F.struct(right_id, "_rv")).alias("_refs"))
+    asked = rows.select(left_id, vec, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_b"))
+    j = asked.join(packed, "_b").withColumn("_r", F.explode("_refs"))
     diff = F.zip_with(F.col(vec), F.col("_r._rv"), lambda a, b: F.abs(a.cast("double") - b.cast("double")))
     if p == 1:
         d = F.aggregate(diff, F.lit(0.0), lambda s, v: s + v)
@@ -361,7 +363,8 @@ def pair_distances(rows: DataFrame, refs: DataFrame, p: float, left_id: str, rig
         d = F.sqrt(F.aggregate(diff, F.lit(0.0), lambda s, v: s + v * v))
     else:
         d = F.pow(F.aggregate(diff, F.lit(0.0), lambda s, v: s + F.pow(v, F.lit(float(p)))), F.lit(1.0 / p))
-    return j.select(left_id, F.col(f"_r.{right_id}").alias(right_id), d.alias("distance"))
+    out = j.select(left_id, F.col(f"_r.{right_id}").alias(right_id), d.alias("distance"))
+    return out if max_distance is None else out.filter(F.col("distance") <= max_distance)
 
 
 def matrix_product(a: DataFrame, b: DataFrame) -> DataFrame:

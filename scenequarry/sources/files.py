@@ -13,6 +13,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scenequarry.session import cut
+
 from scenequarry.operators.scale import rank_rows
 from scenequarry.sources.models import scene_of
 
@@ -196,25 +198,38 @@ def read_clips(spark: SparkSession, path: str) -> DataFrame:
     return k.select("clip", "target", "type", F.coalesce("k.time", F.lit(0.0)).alias("t"), F.coalesce("k.easing", F.lit("linear")).alias("easing"), "k.value")
 
 
-def flatten_locale(spark: SparkSession, path: str, max_depth: int = 8) -> DataFrame:
-    """Dotted keys of locale JSON files: lang (file stem), key, text. Keys that start with '_' and non-strings are skipped."""
+def flatten_locale(spark: SparkSession, path: str) -> DataFrame:
+    """Dotted keys of locale JSON files: lang (file stem), key, text. Keys that start with '_' and non-strings are skipped.
+
+    Values keep their JSON types, so a string that looks like a number, a flag or an object is still a string. Objects are
+    opened level by level until none is left. Files that are no JSON objects give no rows.
+    """
     whole = spark.read.text(path, wholetext=True).select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json$", 1).alias("lang"), F.lit("").alias("key"), F.col("value").alias("text")
+        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json$", 1).alias("lang"), F.lit("").alias("key"), F.col("value").alias("json")
     )
     level, found = whole, []
-    for _ in range(max_depth):
-        parsed = level.withColumn("_m", F.from_json("text", "map<string,string>"))
-        e = parsed.filter("_m is not null").select("lang", "key", F.explode("_m").alias("k", "text")).filter(~F.col("k").startswith("_"))
-        e = e.select("lang", F.concat_ws(".", F.nullif("key", F.lit("")), "k").alias("key"), "text")
-        nested = F.col("text").startswith("{")
-        found.append(e.filter(~nested & ~F.col("text").rlike(r"^(-?\d+(\.\d+)?|true|false|\[.*)$") & F.col("text").isNotNull()))
-        level = e.filter(nested)
+    while True:
+        opened = level.withColumn("_m", F.try_parse_json("json")).filter(F.schema_of_variant("_m").startswith("OBJECT"))
+        members = cut(_members(opened))
+        found.append(members.filter("kind = 'STRING'").select("lang", "key", F.col("text")))
+        level = members.filter("kind LIKE 'OBJECT%'").select("lang", "key", "json")
+        if level.isEmpty():
+            break
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
     return out
 
 
+def _members(opened: DataFrame) -> DataFrame:
+    """Members of the objects in ``_m``: lang, dotted key, kind of the value, its text and its JSON."""
+    inner = opened.sparkSession.tvf.variant_explode(F.col("_m").outer()).select(F.col("key").alias("_k"), F.col("value").alias("_v"))
+    j = opened.select("lang", "key", "_m").lateralJoin(inner).filter(F.col("_k").isNotNull() & ~F.col("_k").startswith("_"))
+    return j.select(
+        "lang", F.concat_ws(".", F.nullif("key", F.lit("")), "_k").alias("key"), F.schema_of_variant("_v").alias("kind"), F.try_variant_get("_v", "$", "string").alias("text"), F.to_json("_v").alias("json")
+    )
+
+
 # ------------------------------------------------------------------ logs
 
 METRICS_SCHEMA = "iteration long, psnr double, ssim double, time_per_image double, num_gaussians long"
@@ -257,12 +272,17 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
 
 
 def list_sessions(spark: SparkSession, base: str) -> DataFrame:
-    """Folders directly below ``base`` with the number of video files in them."""
-    from scenequarry.operators.catalog import classify_files
-
-    rel = F.regexp_extract("path", re.escape(base.rstrip("/")) + r"/([^/]+)/", 1)
-    f = classify_files(list_files(spark, base)).withColumn("session_id", rel).filter("session_id <> ''")
-    return f.groupBy("session_id").agg(F.count_if(F.col("kind") == "video").alias("n_sets"))
+    """Folders directly below ``base`` with the number of video files directly in them; folders without files count 0."""
+    from scenequarry.operators.catalog import VIDEO_EXTENSIONS, extension
+
+    root = spark._jvm.org.apache.hadoop.fs.Path(base)
+    listing = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    folders = spark.createDataFrame([(f.getPath().getName(),) for f in listing if f.isDirectory()], "session_id string")
+    files = list_files(spark, base).select(F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("session_id"), F.regexp_extract("path", r"^(.*)/[^/]+/[^/]+$", 1).alias("_root"), "path")
+    top = root.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(root).getPath().toUri().getPath()
+    videos = files.filter(F.col("_root").endswith(top.rstrip("/")) & extension(F.col("path")).isin(*VIDEO_EXTENSIONS))
+    counts = videos.groupBy("session_id").agg(F.count(F.lit(1)).alias("_n"))
+    return folders.join(counts, "session_id", "left").select("session_id", F.coalesce("_n", F.lit(0)).alias("n_sets"))
 
 
 def frame_listing(spark: SparkSession, path: str, glob: str = "*.{jpg,jpeg,png}") -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from scenequarry.session import cut
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
@@ -104,8 +106,24 @@ def best_metrics_stream(metrics: DataFrame) -> DataFrame:
 
 
 def resumable_sessions(
-    sessions: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, late: str = "7 days"
+    sessions: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, ledger: str | None = None
 ) -> StreamingQuery:
-    """Each session once: the checkpoint remembers files already read, repeats within the watermark are dropped."""
-    once = sessions.withWatermark("ts", late).dropDuplicatesWithinWatermark(["session_id"])
-    return once.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Each session once and for ever: a ledger table beside the checkpoint names the sessions that were handled.
+
+    A batch drops the sessions of the ledger, hands the rest to ``handle`` and then notes them, under the number of the batch,
+    so that a batch which is repeated after a failure replaces its own note. Rows may come as late as they like.
+    """
+    where = ledger or f"{checkpoint}-ledger"
+
+    def run(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        todo = batch.dropDuplicates(["session_id"])
+        fs = spark._jvm.org.apache.hadoop.fs.Path(where).getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(where)):
+            done = spark.read.schema("session_id string, batch long").parquet(where).filter(F.col("batch") != number)
+            todo = todo.join(done.select("session_id").distinct(), "session_id", "left_anti")
+        todo = cut(todo)
+        handle(todo, number)
+        todo.select(F.col("session_id").cast("string")).write.mode("overwrite").parquet(f"{where}/batch={number}")
+
+    return sessions.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
