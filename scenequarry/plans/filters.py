@@ -117,12 +117,12 @@ def _lasso_sql(px, py):
 @query(
     "screen_shapes", "splats views",
     f"""SELECT splat_id, image_id, (px_col-32)*(px_col-32)+(px_row-24)*(px_row-24) <= 81 AS brush,
-px_col BETWEEN 10 AND 50 AND px_row BETWEEN 8 AND 30 AS rect, {_lasso_sql('px_col', 'px_row')} AS lasso FROM seen WHERE image_id % 5 = 0""",
+px_col BETWEEN 10 AND 50 AND px_row BETWEEN 8 AND 30 AS rect, {_lasso_sql('px_col', 'px_row')} AS lasso FROM seen""",
     then=SEEN,
 )
 def _(load):
-    """Brush, rectangle and lasso on the projected pixels of every fifth view."""
-    p = project_views(load("splats"), load("views").filter("image_id % 5 = 0"))
+    """Brush, rectangle and lasso on the projected pixels of all views."""
+    p = project_views(load("splats"), load("views"))
     x, y = F.col("px_col").cast("double"), F.col("px_row").cast("double")
     return p.select(
         "splat_id", "image_id", S.in_brush(x, y, 32.0, 24.0, 9.0).alias("brush"),

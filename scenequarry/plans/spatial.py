@@ -47,13 +47,12 @@ def _(load):
 @query(
     "nearest_transfer", "mesh_vertices splats",
     """SELECT vertex_id, min({'d2': (v.x-s.x)*(v.x-s.x)+(v.y-s.y)*(v.y-s.y)+(v.z-s.z)*(v.z-s.z), 'id': s.splat_id}).id AS splat_id
-FROM mesh_vertices v, splats s WHERE s.scene_id = 0 GROUP BY vertex_id""",
+FROM mesh_vertices v JOIN splats s ON s.scene_id = v.vertex_id % 4 GROUP BY vertex_id""",
 )
 def _(load):
-    """Each mesh vertex takes the colour of the nearest splat of scene 0."""
-    v = load("mesh_vertices").withColumn("scene_id", F.lit(0).cast("long"))
-    s = load("splats").filter("scene_id = 0")
-    return SP.transfer_nearest(s, v, ["scene_id"], "splat_id", "vertex_id", ["c0"]).select("vertex_id", "splat_id")
+    """Each mesh vertex takes the colour of the nearest splat of its scene."""
+    v = load("mesh_vertices").withColumn("scene_id", (F.col("vertex_id") % 4).cast("long"))
+    return SP.transfer_nearest(load("splats"), v, ["scene_id"], "splat_id", "vertex_id", ["c0"]).select("vertex_id", "splat_id")
 
 
 @query(
@@ -72,12 +71,17 @@ for _p, _e in ((1, "list_sum(l)"), (2, "sqrt(list_sum(list_transform(l, lambda v
 
     @query(
         f"pair_distances_p{_p}", "",
-        f"""SELECT vec_id, ref_id, round({_e}, 4) AS distance FROM (SELECT a.vec_id, b.vec_id AS ref_id,
-list_transform(list_zip(a.embedding, b.embedding), lambda z: abs(z[1]::DOUBLE - z[2]::DOUBLE)) AS l FROM embeddings a, embeddings b WHERE b.label = 0) q""",
+        f"""SELECT vec_id, ref_id, round({_e}, 4) AS distance FROM (SELECT a.vec_id, b.label AS ref_id,
+list_transform(list_zip(a.embedding, b.m), lambda z: abs(z[1]::DOUBLE - z[2]::DOUBLE)) AS l FROM embeddings a, means b) q""",
+        then="""long AS (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
+means AS (SELECT label, list(x ORDER BY i) AS m FROM (SELECT label, i, avg(x) AS x FROM long GROUP BY label, i) s GROUP BY label)""",
     )
     def _(load, p=_p):
+        """Distances of every vector to the mean vector of every label."""
         e = load("embeddings")
-        d = SP.pair_distances(e, e.filter("label = 0"), p, "vec_id", "ref_id")
+        by_place = e.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
+        means = by_place.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("embedding"))
+        d = SP.pair_distances(e, means.withColumnRenamed("label", "vec_id"), p, "vec_id", "ref_id")
         return d.select("vec_id", "ref_id", rd(F.col("distance"), "distance", 4))
 
 
