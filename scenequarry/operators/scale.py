@@ -14,10 +14,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scenequarry.session import cut
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 256 << 20
 ROWS_PER_BUCKET = 500_000
 SPLITS_PER_GROUP = 1024
 
@@ -30,16 +32,24 @@ def attach(
     max_rows: int = BROADCAST_ROWS,
     materialise: bool = True,
     rows: int | None = None,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join a dimension table. It is materialised once, counted, and broadcast only up to ``max_rows`` rows;
+    """Join a dimension table. It is materialised once, counted, and broadcast only up to ``max_rows`` rows and ``max_bytes``;
 
-    beyond that a shuffle join runs, where adaptive execution splits skewed keys. ``rows`` is the count if known.
+    beyond that a shuffle join runs, where adaptive execution splits skewed keys. ``rows`` is the count if known. Columns of
+    fixed width count with their width; lists, maps and texts are measured.
     """
+    if rows is None and materialise:
+        dim = cut(dim)
+    wide = [f.name for f in dim.schema if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.StringType, T.BinaryType))]
     if rows is None:
-        if materialise:
-            dim = cut(dim)
-        rows = dim.limit(max_rows + 1).count()
-    small = rows <= max_rows
+        head = dim.limit(max_rows + 1)
+        size = F.sum(F.length(F.to_json(F.struct(*wide))).cast("long")) if wide else F.lit(0).cast("long")
+        rows, measured = head.agg(F.count(F.lit(1)), size).first()
+        measured = measured or 0
+    else:
+        measured = 0
+    small = rows <= max_rows and measured + 16 * len(dim.columns) * rows <= max_bytes
     return df.join(F.broadcast(dim) if small else dim, list(on), how)
 
 
