@@ -155,32 +155,36 @@ def fit_decision_list(
             out = out & F.coalesce(F.col(m) > k if up else F.col(m) <= k, F.lit(False))
         return out
 
-    def tally(where: Column, hold: bool) -> dict[str, dict[int, tuple[int, int]]]:
-        long = table.filter(where & (F.col("hold") == hold)).select("bad", "n", F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.col(m).alias("k")) for m in names])).alias("x"))
+    def tally(where: Column) -> dict[str, dict[int | None, tuple[int, int]]]:
+        """Rejected and accepted frames of the growing part, by measure and bin."""
+        long = table.filter(where & ~F.col("hold")).select("bad", "n", F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.col(m).alias("k")) for m in names])).alias("x"))
         got: dict = {m: {} for m in names}
         for r in long.groupBy("x.m", "x.k").agg(F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("b"), F.sum(F.when(F.col("bad"), 0).otherwise(F.col("n"))).alias("g")).collect():
-            if r.k is not None:
-                got[r.m][r.k] = (r.b, r.g)
+            got[r.m][r.k] = (r.b, r.g)
         return got
 
-    def total(where: Column, hold: Column) -> tuple[int, int]:
-        r = table.filter(where & hold).agg(F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)), F.sum(F.when(F.col("bad"), 0).otherwise(F.col("n")))).first()
-        return r[0] or 0, r[1] or 0
+    def worth(where: Column, literals: list[tuple[str, bool, int]]) -> list[tuple[int, int, int, int]]:
+        """(rejected, accepted, rejected held out, accepted held out) of each beginning of a rule."""
+        parts = [F.coalesce(F.sum(F.when(fires(literals[:k]) & (F.col("bad") == bad) & (F.lit(every) | F.col("hold")), F.col("n"))), F.lit(0)) for k in range(1, len(literals) + 1) for every in (True, False) for bad in (True, False)]
+        r = table.filter(where).agg(*[c.alias(f"c{i}") for i, c in enumerate(parts)]).first()
+        return [tuple(r[i : i + 4]) for i in range(0, len(parts), 4)]
 
     rules: list[tuple[Threshold, ...]] = []
     left = F.lit(True)
     passed: set[tuple[str, bool]] = set()
+    whole = None
     while len(rules) < max_rules and len(passed) < 2 * len(names):
         literals: list[tuple[str, bool, int]] = []
-        b0, g0 = total(left, F.col("hold") == F.lit(False))
-        while len(literals) < max_literals and b0 and g0:
-            seen = tally(left & fires(literals), False)
+        whole = whole or tally(left)
+        seen = whole
+        b0, g0 = (sum(x[i] for x in seen[names[0]].values()) for i in (0, 1))
+        while b0 and g0:
             best = None
             for m in names:
                 for k in range(len(edges[m])):
                     for up in (True, False):
-                        b = sum(x[0] for j, x in seen[m].items() if (j > k) == up)
-                        g = sum(x[1] for j, x in seen[m].items() if (j > k) == up)
+                        b = sum(x[0] for j, x in seen[m].items() if j is not None and (j > k) == up)
+                        g = sum(x[1] for j, x in seen[m].items() if j is not None and (j > k) == up)
                         if b and (literals or (m, up) not in passed):
                             gain = b * (math.log2((b + 0.1) / (b + g + 1)) - math.log2((b0 + 0.1) / (b0 + g0 + 1)))
                             if best is None or gain > best[0]:
@@ -189,19 +193,19 @@ def fit_decision_list(
                 break
             literals.append(best[1])
             b0, g0 = best[2], best[3]
+            if len(literals) == max_literals or not g0:
+                break
+            seen = tally(left & fires(literals))
         if not literals:
             break
-        worth = []
-        for k in range(1, len(literals) + 1):
-            b, g = total(left & fires(literals[:k]), F.col("hold"))
-            worth.append(((b - g) / max(b + g, 1), b, -k))
-        literals = literals[: -max(worth)[2]]
-        b, g = total(left & fires(literals), F.lit(True))
-        hb, hg = total(left & fires(literals), F.col("hold"))
+        counts = worth(left, literals)
+        keep = max(range(len(counts)), key=lambda i: ((counts[i][2] - counts[i][3]) / max(counts[i][2] + counts[i][3], 1), counts[i][2], -i))
+        b, g, hb, hg = counts[keep]
+        literals = literals[: keep + 1]
         if b < least or b < precision * (b + g) or hb < precision * (hb + hg):
             passed.add(literals[0][:2])
             continue
-        passed = set()
+        passed, whole = set(), None
         rules.append(tuple(Threshold(m, up, edges[m][k]) for m, up, k in literals))
         left = left & ~fires(literals)
     return DecisionList(tuple(rules))
