@@ -38,8 +38,8 @@ SPACED = re.compile(r"[^\W_](?:[.\-_*~/][^\W_]){2,}")
 SUSPECT = re.compile(rf"{LETTER}[{_SIGN}]|[{_SIGN}]{LETTER}|({LETTER})\1\1|(?:({LETTER})\2.*){{3}}", re.IGNORECASE)
 INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
 WORD = re.compile(rf"{LETTER}+")
-#: Tokens that a task keeps readings of.
-KNOWN = 300_000
+#: Tokens that a task keeps readings of, and rows that it works on at once.
+KNOWN, ROWS = 300_000, 500
 
 
 def letter_counts(assets: DataFrame, notes: str = "notes") -> DataFrame:
@@ -57,16 +57,13 @@ def letter_counts(assets: DataFrame, notes: str = "notes") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SIZE**4, np.int64)
         for b in batches:
-            texts = [t for t in b.column(0).to_pylist() if t]
-            while texts:
-                some, n = [], 0
-                while texts and n < 2_000_000:
-                    some.append(texts.pop())
-                    n += len(some[-1])
-                chars = np.frombuffer("\n".join(["", *some, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
-                c = np.where(chars < len(table), table[np.minimum(chars, len(table) - 1)], OTHER)
+            for k in range(0, b.num_rows, ROWS):
+                texts = [t for t in b.column(0).slice(k, ROWS).to_pylist() if t]
+                chars = np.frombuffer("\n".join(["", *texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+                c = table[np.minimum(chars, len(table) - 1)]
+                c[chars >= len(table)] = OTHER
                 c = c[np.concatenate([[True], (c[1:] != 0) | (c[:-1] != 0)])]
-                c = np.repeat(c, np.where(c == 0, 3, 1)).astype(np.int64)
+                c = np.repeat(c, np.where(c == 0, 3, 1))
                 total += np.bincount(((c[:-3] * SIZE + c[1:-2]) * SIZE + c[2:-1]) * SIZE + c[3:], minlength=SIZE**4)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["gram", "n"])
@@ -86,14 +83,17 @@ class LetterModel:
 
     @cached_property
     def table(self) -> np.ndarray:
-        n = np.zeros(SIZE**4)
+        n = np.zeros(SIZE**4, np.float32)
         n[self.grams] = self.counts
         n = n.reshape((SIZE,) * 4)
-        p = (n.sum((0, 1, 2)) + 1) / (n.sum() + SIZE)
-        for axes in ((0, 1), (0,), ()):
-            own = n.sum(axes) if axes else n
+        three = n.sum(0, dtype=np.float64)
+        p = (three.sum((0, 1)) + 1) / (three.sum() + SIZE)
+        for own in (three.sum(0), three):
             p = (own + self.strength * p) / (own.sum(-1, keepdims=True) + self.strength)
-        return np.log(p).astype(np.float32)
+        seen = n.sum(-1, keepdims=True) + np.float32(self.strength)
+        n += np.float32(self.strength) * p.astype(np.float32)
+        n /= seen
+        return np.log(n, out=n)
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "table"}
@@ -332,7 +332,7 @@ def score_notes(assets: DataFrame, model: ToxicityModel, notes: str = "notes", s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value.told()
-        for b in batches:
+        for b in (whole.slice(k, ROWS) for whole in batches for k in range(0, whole.num_rows, ROWS)):
             texts = b.column(notes).to_pylist()
             more = [pa.array([shared.value.score(t, words) for t in texts], pa.float64())]
             if restored:
