@@ -126,12 +126,85 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.judge_pages(pages, U.alias_links(pages), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "alias_verdict")
 
 
+_AZ = ", ".join(f"'{x}'" for x in U.AZ)
+
+
+def _host_sql(url: str) -> str:
+    return f"translate(regexp_extract({url}, '^.*?://([^/?#]*)', 1, 's'), {_AZ})"
+
+
+def _path_sql(url: str) -> str:
+    return f"regexp_extract({url}, '^.*?://[^/?#]*([^?#]*)', 1, 's')"
+
+
+def _rule_sql(host: str, path: str, allowed: bool) -> str:
+    rows = sorted(URL_RULES, key=lambda r: -len(r[0] + r[1]))
+    then = (lambda r: str(r[2]).lower()) if allowed else (lambda r: f"'{r[0]}{r[1]}'")
+    return "CASE " + " ".join(f"WHEN ({host} = '{r[0]}' OR {host} LIKE '%.{r[0]}') AND starts_with({path}, '{r[1]}') THEN {then(r)}" for r in rows) + " END"
+
+
+def _canonical_sql(url: str) -> str:
+    head = f"lower(regexp_extract({url}, '^(.*?)://', 1, 's'))"
+    query = f"regexp_extract({url}, '^.*?://[^?#]*(\\?[^#]*)', 1, 's')"
+    for _ in range(2):
+        query = f"regexp_replace({query}, '([?&])utm_[^&]*(&|$)', '\\1', 'g')"
+    host = f"CASE {head} WHEN 'http' THEN regexp_replace({_host_sql(url)}, ':80$', '') WHEN 'https' THEN regexp_replace({_host_sql(url)}, ':443$', '') ELSE {_host_sql(url)} END"
+    return f"CASE WHEN contains({url}, '://') THEN {head} || '://' || {host} || {_path_sql(url)} || regexp_replace({query}, '[?&]+$', '') ELSE {url} END"
+
+
+def _full_sql(link: str) -> str:
+    return f"CASE WHEN contains({link}, '://') THEN {link} WHEN starts_with({link}, '//') THEN regexp_extract(url, '^(.*?:)//', 1, 's') || {link} WHEN starts_with({link}, '/') THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1, 's') || {link} END"
+
+
+_TAGS = {
+    "link": ("rel\\s*=\\s*[\"'']?canonical\\b", "href"),
+    "meta": ("http-equiv\\s*=\\s*[\"'']?refresh\\b", "url"),
+}
+_LINKS = ", ".join(
+    f"""coalesce(nullif(regexp_extract(h, '<{tag}\\b[^>]*\\b{mark}[^>]*\\b{name}\\s*=\\s*["'']?([^"''\\s>]+)', 1, 'is'), ''), regexp_extract(h, '<{tag}\\b[^>]*\\b{name}\\s*=\\s*["'']?([^"''\\s>]+)[^>]*\\b{mark}', 1, 'is')) AS {tag}"""
+    for tag, (mark, name) in _TAGS.items()
+)
+ORACLES["op3_url_filter"] = f"""WITH RECURSIVE p AS (SELECT page_id, url, coalesce(html, '') AS h, coalesce({_host_sql("url")}, '') AS host, coalesce({_path_sql("url")}, '') AS path FROM pages),
+x AS (SELECT url, {_LINKS} FROM p WHERE url IS NOT NULL),
+y AS (SELECT url, url AS target FROM x UNION ALL SELECT url, {_full_sql("link")} FROM x UNION ALL SELECT url, {_full_sql("meta")} FROM x),
+e AS (SELECT DISTINCT url AS a, {_canonical_sql("target")} AS b FROM y WHERE target IS NOT NULL AND target <> ''),
+d AS (SELECT a, b FROM e WHERE a <> b AND b <> '' UNION SELECT b, a FROM e WHERE a <> b AND b <> ''),
+r AS (SELECT DISTINCT a AS node, a AS other FROM d UNION SELECT r.node, d.b FROM r JOIN d ON d.a = r.other),
+k AS (SELECT node, max({_rule_sql(_host_sql("other"), _path_sql("other"), True)}) AS any_ok FROM r GROUP BY node)
+SELECT page_id, host, path, {_rule_sql("host", "path", False)} AS rule, CASE WHEN coalesce({_rule_sql("host", "path", True)}, any_ok, true) THEN 'allow' ELSE 'block' END AS verdict,
+CASE WHEN any_ok THEN 'allow' WHEN NOT any_ok THEN 'block' END AS alias_verdict FROM p LEFT JOIN k ON p.url = k.node"""
+
+
 @query("op2_license_scan")
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = L.scan_notes(as_assets(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     return scanned.select(F.col("asset_id").alias("doc_id"), "n_sentences", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"))
 
 
+def _scan_sql() -> str:
+    """Sentences, their normal form and numbers, then one step per rule on the documents that hold a known sentence."""
+    quote = lambda x: x.replace("(?P<v>", "(?:").replace("'", "''")
+    dotted = "regexp_replace(regexp_replace(lower(x), '([0-9])\\.([0-9])', '\\1\x01\\2', 'g'), '([0-9])\\.([0-9])', '\\1\x01\\2', 'g')"
+    normal = f"trim(regexp_replace(replace(replace({dotted}, '.', ' '), '\x01', '.'), '[^\\p{{L}}\\p{{N}}./()]+', ' ', 'g'))"
+    number = "CASE " + " ".join(f"WHEN regexp_full_match(s, '{quote(form)}') THEN {n}" for n, form in L.SENTENCES) + " END"
+    steps, last = [], "w0"
+    for k, r in enumerate(L.RULES, 1):
+        like = "%" + "%".join(f"|{n}|" for n in r.sentences) + "%"
+        steps.append(
+            f"w{k} AS (SELECT doc_id, CASE WHEN f THEN list_filter(rest, lambda z: NOT list_contains({list(r.sentences)}, z)) ELSE rest END AS rest, CASE WHEN f AND NOT list_contains(found, '{r.licence}') THEN list_append(found, '{r.licence}') ELSE found END AS found "
+            f"FROM (SELECT *, array_to_string(list_transform(rest, lambda z: '|' || z || '|'), '') LIKE '{like}' AS f FROM {last}) q{k})"
+        )
+        last = f"w{k}"
+    return f"""WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?;])\\s+', '\\1\n', 'g'), '[\\n\\r\\v\\f]+'), lambda z: trim(z) <> '') AS parts FROM documents),
+n AS (SELECT doc_id, x, i FROM (SELECT doc_id, unnest(parts) AS x, generate_subscripts(parts, 1) AS i FROM t) u WHERE regexp_matches(x, '(?i){quote(L.HINTS)}')),
+m AS (SELECT doc_id, i, {number} AS id FROM (SELECT doc_id, i, {normal} AS s FROM n) v WHERE regexp_matches(s, '{quote(L.HINTS)}')),
+w0 AS (SELECT doc_id, list(id ORDER BY i) AS rest, CAST([] AS VARCHAR[]) AS found FROM m WHERE id IS NOT NULL GROUP BY doc_id), {", ".join(steps)}
+SELECT t.doc_id, CAST(len(parts) AS BIGINT) AS n_sentences, coalesce(array_to_string(w0.rest, ','), '') AS sentence_ids, coalesce(array_to_string({last}.found, ','), '') AS licences FROM t LEFT JOIN w0 USING (doc_id) LEFT JOIN {last} USING (doc_id)"""
+
+
+ORACLES["op2_license_scan"] = _scan_sql()
+
+
 @query("op6_sharding")
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))

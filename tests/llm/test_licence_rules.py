@@ -23,3 +23,16 @@ def test_ordered_rules_take_their_sentences(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "asset_id long, notes string")
     got = {r.asset_id: (r.sentence_ids, r.licences) for r in L.scan_notes(df, known=tuple((i, f.replace(" ", " ")) for i, f in known), rules=rules).collect()}
     assert got == {0: ([1, 2, 3], ["long"]), 1: ([1, 4, 2, 3], ["long"]), 2: ([3, 2, 1], ["part"]), 3: ([4, 1], ["other"])}
+
+
+def test_query_equals_its_sql(spark, tmp_path):
+    import duckdb
+
+    from scenequarry.llm import queries as Q
+
+    texts = [APACHE, "Released under the MIT License. Licensed under CC BY-NC 4.0.\nLicensed under the Apache License, Version 2.0.", None, "", " \t\n x", "MIT License\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software now", "All rights reserved. version 1.2.3 of the licence; yes"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, Q.QUERIES["op2_license_scan"](spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(con.execute(Q.ORACLES["op2_license_scan"]).fetchall())

@@ -49,3 +49,17 @@ def test_canonical(spark):
     pairs = {"HTTP://A.b:80/x?utm_a=1&q=2#f": "http://a.b/x?q=2", "https://a.b/x?q=1&utm_b=2": "https://a.b/x?q=1", "https://a.b?utm_c": "https://a.b", "plain": "plain", "https://a:443/": "https://a/"}
     got = spark.createDataFrame([(u,) for u in pairs], "url string").select("url", U.canonical(F.col("url")).alias("c")).collect()
     assert {r.url: r.c for r in got} == pairs
+
+
+def test_query_equals_its_sql(spark, tmp_path):
+    import duckdb
+
+    from scenequarry.llm import queries as Q
+
+    pages = [(i, u, h) for i, (u, h) in enumerate([("http://x.com/1", ""), ("http://y.com/2", '<LINK href="http://bad.net/9" rel=canonical>'), ("http://z.com/3", "<meta content='0; url=http://y.com/2' http-equiv='refresh'>"), ("http://v.com/5", '<link rel="canonical" href="//bad.net/7">'), ("http://example.net/en/6", '<link rel="canonical" href="http://v.com/5">'), (None, None)])]
+    pages += [(100 + i, u, "<p>x</p>") for i, u in enumerate(URLS)] + [(1, "http://y.com/2#a", ""), (2, "https://y.com:443/2?utm_a=1&q=2", "")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted(map(str, (tuple(r) for r in Q.QUERIES["op3_url_filter"](spark, str(tmp_path)).collect())))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == sorted(map(str, con.execute(Q.ORACLES["op3_url_filter"]).fetchall()))
