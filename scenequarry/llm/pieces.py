@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,12 +18,8 @@ MARK = "▁"
 # Fixed values of the model file: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-RUNS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-SIGNS = ".,;:!?)"
 #: Rows that are worked on at once.
 ROWS = 250
-#: Segments kept with their ids in a worker, and characters that are taken at once.
-CACHE, SLICE = 300_000, 1_000_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -112,77 +106,24 @@ class PieceModel:
 
 
 class PieceCoder:
-    """Batch encoding and decoding with one model file.
-
-    Where no piece but runs of markers has a marker past its start, no piece crosses the start of a marked word; texts are
-    then encoded word by word, new words in one multithreaded batch, known ones from a table. If no piece has a sign after a
-    letter either, signs at the end of a word are words of their own. Other models encode whole texts.
-    """
+    """Batch encoding and decoding with one model file: whole texts go to the library in multithreaded batches."""
 
     def __init__(self, path: str) -> None:
         with open(path, "rb") as f:
             self.model = PieceModel.parse(f.read())
-        usable = [p for p, _, t in self.model.pieces if t in (NORMAL, USER)]
-        self.by_word = self.model.escape and all(set(p) == {MARK} or MARK not in p[1:] for p in usable)
-        self.tails = not any(re.search(rf"[a-z][{SIGNS}]", p) for p in usable)
-        self.known: dict[str, bytes] = {}
 
     @cached_property
     def whole(self):
         return self.model.tokenizer()
 
-    @cached_property
-    def bare(self):
-        """The same pieces for words that are in normal form already."""
-        from tokenizers import Tokenizer
-
-        return Tokenizer(self.whole.model)
-
     @cached_property
     def spelt(self) -> list[bytes]:
         """UTF-8 text of each piece."""
         return [bytes([int(p[3:5], 16)]) if t == BYTE else p.replace(MARK, " ").encode() for p, _, t in self.model.pieces]
 
-    def _segments(self, text: str) -> list[str]:
-        m = self.model
-        if m.charsmap or m.squeeze:
-            text = self.whole.normalizer.normalize_str(text)
-        elif text:
-            text = (MARK if m.dummy_prefix else "") + text.replace(" ", MARK)
-        if MARK + MARK in text or not text.startswith(MARK):
-            return RUNS.findall(text)
-        return [MARK + w for w in text[1:].split(MARK)]
-
-    def _learn(self, words: list[str]) -> None:
-        """Put words into the table; a word with signs after a plain letter is put together from both parts."""
-        cut = {w: k for w in words if self.tails and (k := len(w.rstrip(SIGNS))) < len(w) and w[k - 1 : k].isascii() and w[k - 1 : k].islower()}
-        single = [w for w in words if w not in cut]
-        parts = {x for w, k in cut.items() for x in (w[:k], w[k:])}.difference(self.known, single)
-        new = single + list(parts)
-        for k in range(0, len(new), 20_000):
-            some = new[k : k + 20_000]
-            self.known.update(zip(some, (struct.pack(f"<{len(e)}I", *e.ids) for e in self.bare.encode_batch_fast(some, add_special_tokens=False)), strict=True))
-        for w, k in cut.items():
-            self.known[w] = self.known[w[:k]] + self.known[w[k:]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
-        if not self.by_word:
-            return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
-        out, at = [], 0
-        while at < len(texts):
-            parts, n = [], 0
-            while at < len(texts) and (not parts or n + len(texts[at]) <= SLICE):
-                n += len(texts[at])
-                parts.append(self._segments(texts[at]))
-                at += 1
-            new = set().union(*parts).difference(self.known)
-            if len(self.known) + len(new) > CACHE:
-                self.known.clear()
-                new = set().union(*parts)
-            self._learn(list(new))
-            out += [b"".join(map(self.known.__getitem__, p)) for p in parts]
-        return out
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text."""
+        return [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         """Texts of ids; the library itself puts together those whose byte pieces are no whole characters."""
@@ -223,9 +164,7 @@ def encode_strings(strings: DataFrame, model: str, value: str = "value", ids: st
             for k in range(0, b.num_rows, ROWS):
                 part = b.slice(k, ROWS)
                 codes = c.encode([t or "" for t in part.column(value).to_pylist()])
-                ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in codes])]).astype(np.int32)
-                flat = np.frombuffer(b"".join(codes), "<u4").astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], [*part.schema.names, ids])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(codes, pa.list_(pa.int32()))], [*part.schema.names, ids])
 
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
 

@@ -50,8 +50,6 @@ def test_unigram_models(tmp_path):
     path.write_bytes(data)
     sp = sentencepiece.SentencePieceProcessor(model_proto=io.BytesIO(data).getvalue())
     c = P.PieceCoder(str(path))
-    import numpy as np
-
     for t in ["", "the", "  the   rat at ", "other é", "aaa", "hat 日"]:
-        assert np.frombuffer(c.encode([t])[0], "<u4").tolist() == sp.encode(t), t
+        assert c.encode([t])[0] == sp.encode(t), t
         assert c.decode([sp.encode(t)])[0] == sp.decode(sp.encode(t)), t
