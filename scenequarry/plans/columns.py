@@ -13,7 +13,11 @@ from scenequarry.operators import transforms
 from scenequarry.plans.registry import query
 from scenequarry.plans.sqltext import ALPHA, SEEN, UNIT_VIEWS, quat_rows, r
 
-Q = tuple(F.col(c) for c in ("qw", "qx", "qy", "qz"))
+
+def quaternion():
+    """Columns of a rotation; made when asked for, so that this module loads without a session."""
+    return tuple(F.col(c) for c in ("qw", "qx", "qy", "qz"))
+
 
 
 def rd(c, name, digits=6):
@@ -106,9 +110,9 @@ FROM (SELECT *, qw/nullif(n,0e0) AS uw, qx/nullif(n,0e0) AS ux, qy/nullif(n,0e0)
 )
 def _(load):
     """Product with (0.8, 0.6, 0, 0), rotation matrix entries, and the quaternion recovered from the matrix."""
-    p = V.quat_multiply(Q, (F.lit(0.8), F.lit(0.6), F.lit(0.0), F.lit(0.0)))
+    p = V.quat_multiply(quaternion(), (F.lit(0.8), F.lit(0.6), F.lit(0.0), F.lit(0.0)))
     m = [[F.col(f"_m{i}{j}") for j in range(3)] for i in range(3)]
-    made = V.quat_matrix(Q)
+    made = V.quat_matrix(quaternion())
     back = V.matrix_quat(m)
     return load("splats").withColumns({f"_m{i}{j}": made[i][j] for i in range(3) for j in range(3)}).select(
         "splat_id", *[rd(c, f"p{a}") for c, a in zip(p, "wxyz")], rd(m[0][0], "m00"), rd(m[1][2], "m12"),
@@ -122,7 +126,7 @@ _CEN = [f"-({_VR[0][i]}*tx+{_VR[1][i]}*ty+{_VR[2][i]}*tz)" for i in range(3)]
 
 @query("camera_centres", "views", f"SELECT image_id, {', '.join(r(c, n) for c, n in zip(_CEN, ('px', 'py', 'pz')))} FROM unit_views", then=UNIT_VIEWS)
 def _(load):
-    c = C.camera_centre(Q, tuple(F.col(t) for t in ("tx", "ty", "tz")))
+    c = C.camera_centre(quaternion(), tuple(F.col(t) for t in ("tx", "ty", "tz")))
     return load("views").select("image_id", *[rd(v, n) for v, n in zip(c, ("px", "py", "pz"))])
 
 
@@ -134,7 +138,7 @@ def _(load):
 )
 def _(load):
     """Y-up position and rotation, and whether converting back restores the pose."""
-    q = V.quat_normalise(Q)
+    q = V.quat_normalise(quaternion())
     v = load("views").select("image_id", *[c.alias(f"u{a}") for c, a in zip(q, "wxyz")], "tx", "ty", "tz")
     u, t = V.cols("uw", "ux", "uy", "uz"), V.cols("tx", "ty", "tz")
     pos = C.yup_position(C.camera_centre(u, t))
@@ -153,7 +157,7 @@ def _(load):
 FROM unit_views""", then=UNIT_VIEWS,
 )
 def _(load):
-    m = C.yup_transform(Q, tuple(F.col(c) for c in ("tx", "ty", "tz")))
+    m = C.yup_transform(quaternion(), tuple(F.col(c) for c in ("tx", "ty", "tz")))
     return load("views").select(
         "image_id", *[rd(F.get(m, F.lit(i)), f"m{i}") for i in (0, 4, 10, 12)]
     )
@@ -260,8 +264,8 @@ withsign AS (SELECT *, CASE WHEN u[ax+1] < 0 THEN -1e0 ELSE 1e0 END AS sg FROM a
 )
 def _(load):
     """Smallest-three bytes of every non-zero rotation; unpacking gives the same rotation within the byte step."""
-    s = load("splats").withColumn("code", codes.pack_quaternion(Q)).filter("code is not null")
-    unit = V.quat_normalise(Q)
+    s = load("splats").withColumn("code", codes.pack_quaternion(quaternion())).filter("code is not null")
+    unit = V.quat_normalise(quaternion())
     back = codes.unpack_quaternion(F.col("code"))
     agree = sum((unit[i] * F.get(back, F.lit(i)) for i in range(1, 4)), unit[0] * F.get(back, F.lit(0)))
     return s.select("splat_id", *[F.get("code", F.lit(i)).alias(f"b{i}") for i in range(4)], (F.abs(agree) > 0.999).alias("close"))

@@ -1,5 +1,6 @@
 """Further registered queries against their SQL on the smallest tables: those whose rules changed, and one of each family."""
 
+import subprocess
 import sys
 from pathlib import Path
 
@@ -36,3 +37,9 @@ def test_query_matches_sql(spark, con, name):
     assert sorted(names) == cols
     idx = [names.index(c) for c in cols]
     assert got == sorted((tuple(norm(r[i]) for i in idx) for r in cur.fetchall()), key=key)
+
+
+def test_names_need_no_session():
+    root = Path(__file__).resolve().parents[1]
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
