@@ -294,7 +294,8 @@ def landmark_text(html: str) -> str | None:
 ASIDE_NAMES = (
     "nav navbar menu breadcrumb header masthead topbar footer bottom sidebar aside widget related recommended share social comment comments reply disqus discussion cookie consent "
     "banner notice notification alert popup modal overlay ad ads advert advertisement sponsor sponsored promo newsletter subscribe signup form login search copyright legal "
-    "tags meta byline pagination pager toolbar skip hidden disclaimer"
+    "tags meta byline pagination pager toolbar skip hidden disclaimer replies responses feedback reactions rating popular trending teaser leaderboard warning gdpr privacy subscription signin register "
+    "topnav subnav sitemap crumbs"
 ).split()
 MAIN_NAMES = "content main article post entry story body text page".split()
 
@@ -361,7 +362,7 @@ def fit_content_model(labelled: DataFrame, html: str = "html", text: str = "text
 
 
 def self_labelled(pages: DataFrame, bound: int = 2000, page_id: str = "page_id", html: str = "html") -> DataFrame:
-    """(html, text) of at most ``bound`` pages, drawn by a hash of the id, whose only ``article`` or ``main`` says what is content."""
+    """(html, text) of at most ``bound`` different pages, drawn by a hash of the id and the page, whose only ``article`` or ``main`` says what is content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -369,11 +370,11 @@ def self_labelled(pages: DataFrame, bound: int = 2000, page_id: str = "page_id",
 
     spark: SparkSession = pages.sparkSession
     ship(spark)
-    drawn = pages.filter(F.col(html).isNotNull()).select(F.xxhash64(page_id, html).alias("_h")).orderBy("_h").limit(bound)
+    drawn = pages.filter(F.col(html).isNotNull()).select(F.xxhash64(page_id, html).alias("_h")).distinct().orderBy("_h").limit(bound)
     last = drawn.agg(F.max("_h")).first()[0]
     if last is None:
         return spark.createDataFrame([], "html string, text string")
-    return pages.filter(F.col(html).isNotNull() & (F.xxhash64(page_id, html) <= last)).select(F.col(html).alias("html")).mapInArrow(run, "html string, text string")
+    return pages.filter(F.col(html).isNotNull() & (F.xxhash64(page_id, html) <= last)).select(F.col(html).alias("html")).distinct().mapInArrow(run, "html string, text string")
 
 
 def page_texts(htmls: list[str | None], model: ContentModel) -> list[str]:
