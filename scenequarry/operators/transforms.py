@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +17,9 @@ from scenequarry.functions.splats import SH_C1, SH_C2, SH_C3
 from scenequarry.functions.vectors import quat_multiply
 from scenequarry.operators.scale import attach
 
+# executors get the batch functions by value and need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 XYZ = ("x", "y", "z")
 
 
@@ -87,6 +93,68 @@ def transform_splats(splats: DataFrame, matrix: Sequence[float], degree: int = 0
     return splats.withColumns(new)
 
 
+def map_parts(matrix: Sequence[float], degree: int) -> tuple[list[float], list[float], list[list[float]]]:
+    """(quaternion, [log scale], SH matrices by band) of a row-major 4x4 matrix; an unturned one keeps its SH bands."""
+    lin = np.array(matrix, dtype=float).reshape(4, 4)[:3, :3]
+    scale = np.linalg.norm(lin, axis=0)
+    rot = lin / np.where(scale > 0, scale, 1.0)
+    q = _quat_of(rot)
+    turned = abs(q[0]) < 1 - 1e-12
+    bands = [(sh_rotation(rot, b) if turned else np.eye(2 * b + 1)).ravel().tolist() for b in range(1, degree + 1)]
+    mean = float(scale.mean())
+    return list(q if turned else (1.0, 0.0, 0.0, 0.0)), [math.log(mean) if mean > 0 and np.any(np.abs(scale - 1) > 1e-6) else 0.0], bands
+
+
+def transform_by_node(splats: DataFrame, maps: DataFrame, keys: Sequence[str] = ("scene_id", "node_id"), matrix: str = "world") -> DataFrame:
+    """Apply to each splat the affine matrix of its row in ``maps`` (keys, row-major 4x4 ``matrix``); splats without one drop out.
+
+    Means, and where the table has them rotations (``qw`` to ``qz``), log scales (``s0`` to ``s2``) and SH coefficients
+    (``shn``, three channels each, bands 1 to 3) are mapped. What depends on the matrix alone is worked out once per row of
+    ``maps``. A null matrix leaves the splat as it is.
+    """
+    keys = list(keys)
+    has = set(splats.columns)
+    turn, size, sh = {"qw", "qx", "qy", "qz"} <= has, {"s0", "s1", "s2"} <= has, "shn" in has
+    degree = 3 if sh else 0
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [map_parts(np.eye(4).ravel() if m is None else m, degree) for m in b[matrix]]
+            out = b[keys].copy()
+            out["_m"] = [np.eye(4).ravel().tolist() if m is None else [float(v) for v in m] for m in b[matrix]]
+            out["_q"], out["_s"], out["_b"] = [r[0] for r in rows], [r[1][0] for r in rows], [r[2] for r in rows]
+            yield out
+
+    kinds = ", ".join(f"`{k}` {maps.schema[k].dataType.simpleString()}" for k in keys)
+    table = maps.select(*keys, matrix).mapInPandas(parts, f"{kinds}, _m array<double>, _q array<double>, _s double, _b array<array<double>>")
+    j = attach(splats, table, keys)
+    at = lambda i: F.get("_m", F.lit(i))
+    new: dict[str, Column] = {a: sum((at(4 * i + k) * F.col(b) for k, b in enumerate(XYZ)), at(4 * i + 3)) for i, a in enumerate(XYZ)}
+    if turn:
+        new |= dict(zip(("qw", "qx", "qy", "qz"), quat_multiply(tuple(F.get("_q", F.lit(i)) for i in range(4)), tuple(F.col(f"q{a}") for a in "wxyz")), strict=True))
+    if size:
+        new |= {f"s{i}": F.col(f"s{i}") + F.col("_s") for i in range(3)}
+    if sh:
+        bands, start = [], 0
+        for band in range(1, degree + 1):
+            n = 2 * band + 1
+            bands.append(F.when(F.size("shn") >= 3 * (start + n), _turned_band(F.get("_b", F.lit(band - 1)), start, n)).otherwise(F.array().cast("array<double>")))
+            start += n
+        new["shn"] = F.concat(*bands)
+    return j.withColumns(new).drop("_m", "_q", "_s", "_b")
+
+
+def _turned_band(mat: Column, start: int, n: int) -> Column:
+    """Coefficients of one SH band after its matrix, three channels each."""
+
+    def one(i: Column) -> Column:
+        row, channel = F.floor(i / 3).cast("int"), i % 3
+        terms = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.get(mat, row * n + k) * F.get("shn", (k + start) * 3 + channel).cast("double"))
+        return F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
+
+    return F.transform(F.sequence(F.lit(0), F.lit(3 * n - 1)), one)
+
+
 def quantise_positions(points: DataFrame) -> DataFrame:
     """lo_/hi_ byte per axis within the scene's folded bounds; ``close`` checks the decoded value against the step."""
     aggs = []
