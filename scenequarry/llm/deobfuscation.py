@@ -39,7 +39,7 @@ SUSPECT = re.compile(rf"{LETTER}[{_SIGN}]|[{_SIGN}]{LETTER}|({LETTER})\1\1|(?:({
 INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
 WORD = re.compile(rf"{LETTER}+")
 #: Tokens that a task keeps readings of, and rows that it works on at once.
-KNOWN, ROWS = 300_000, 500
+KNOWN, ROWS = 200_000, 500
 
 
 def letter_counts(assets: DataFrame, notes: str = "notes") -> DataFrame:
@@ -55,7 +55,7 @@ def letter_counts(assets: DataFrame, notes: str = "notes") -> DataFrame:
         table[i] = CODE.get(c, OTHER) if re.match(LETTER, chr(i)) else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SIZE**4, np.int64)
+        total = np.zeros(SIZE**4, np.uint32)
         for b in batches:
             for k in range(0, b.num_rows, ROWS):
                 texts = [t for t in b.column(0).slice(k, ROWS).to_pylist() if t]
@@ -64,9 +64,9 @@ def letter_counts(assets: DataFrame, notes: str = "notes") -> DataFrame:
                 c[chars >= len(table)] = OTHER
                 c = c[np.concatenate([[True], (c[1:] != 0) | (c[:-1] != 0)])]
                 c = np.repeat(c, np.where(c == 0, 3, 1))
-                total += np.bincount(((c[:-3] * SIZE + c[1:-2]) * SIZE + c[2:-1]) * SIZE + c[3:], minlength=SIZE**4)
+                total += np.bincount(((c[:-3] * SIZE + c[1:-2]) * SIZE + c[2:-1]) * SIZE + c[3:], minlength=SIZE**4).astype(np.uint32)
         seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen].astype(np.int64))], ["gram", "n"])
 
     return assets.select(notes).mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
