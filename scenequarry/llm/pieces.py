@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -18,8 +19,8 @@ MARK = "▁"
 # Fixed values of the model file: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Rows that are worked on at once.
-ROWS = 250
+#: Rows that are worked on at once, and threads of a task.
+ROWS, THREADS = 250, 2
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -116,14 +117,29 @@ class PieceCoder:
     def whole(self):
         return self.model.tokenizer()
 
+    @cached_property
+    def bare(self):
+        """The same pieces for texts that are in normal form already."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer(self.whole.model)
+
     @cached_property
     def spelt(self) -> list[bytes]:
         """UTF-8 text of each piece."""
         return [bytes([int(p[3:5], 16)]) if t == BYTE else p.replace(MARK, " ").encode() for p, _, t in self.model.pieces]
 
+    def normal(self, text: str) -> str:
+        """What the normaliser makes of a text; without a character table and squeezing that is the marker for each space."""
+        m = self.model
+        if m.charsmap or m.squeeze:
+            return self.whole.normalizer.normalize_str(text)
+        space = MARK if m.escape else " "
+        return (space if m.dummy_prefix and text else "") + text.replace(" ", space)
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text."""
-        return [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        return [e.ids for e in self.bare.encode_batch_fast([self.normal(t) for t in texts], add_special_tokens=False)]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         """Texts of ids; the library itself puts together those whose byte pieces are no whole characters."""
@@ -143,7 +159,11 @@ _coders: dict[str, PieceCoder] = {}
 
 
 def coder(path: str) -> PieceCoder:
-    """The worker's coder for a model file; the file must lie at that place on each worker."""
+    """The worker's coder for a model file; the file must lie at that place on each worker.
+
+    Batches use ``THREADS`` threads, as tasks share their machine, unless the worker's environment says otherwise.
+    """
+    os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
     if path not in _coders:
         _coders[path] = PieceCoder(path)
     return _coders[path]
@@ -182,7 +202,9 @@ def decode_strings(coded: DataFrame, model: str, ids: str = "ids", decoded: str
         for b in batches:
             for k in range(0, b.num_rows, ROWS):
                 part = b.slice(k, ROWS)
-                rows = part.column(ids).to_pylist()
+                codes = part.column(ids)
+                flat, ends, known = codes.values.to_numpy(zero_copy_only=False), codes.offsets.to_numpy(), codes.is_valid().to_pylist()
+                rows = [flat[i:j].tolist() if ok else None for i, j, ok in zip(ends[:-1], ends[1:], known, strict=True)]
                 texts = c.decode([r or [] for r in rows])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([None if r is None else t for r, t in zip(rows, texts, strict=True)], pa.string())], [*part.schema.names, decoded])
 
