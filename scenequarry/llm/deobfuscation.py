@@ -35,7 +35,9 @@ _SIGN = re.escape("".join(SIGNS) + ANY)
 DECORATION = re.compile(r"^([^\w])\1{2,}|([^\w])\2{2,}$")
 AROUND = ".,;:!?\"'()[]{}-_<>&%#*|"
 SPACED = re.compile(r"[^\W_](?:[.\-_*~/][^\W_]){2,}")
-SUSPECT = re.compile(rf"{LETTER}[{_SIGN}]|[{_SIGN}]{LETTER}|({LETTER})\1\1|(?:({LETTER})\2.*){{3}}", re.IGNORECASE)
+SUSPECT = re.compile(rf"{LETTER}[{_SIGN}]|[{_SIGN}]{LETTER}|({LETTER})\1", re.IGNORECASE)
+#: Three signs or more without a letter, of which one at least stands for certain letters.
+SIGNED = re.compile(rf"(?=.*[^{re.escape(ANY)}])[{_SIGN}]{{3,}}", re.IGNORECASE)
 INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
 WORD = re.compile(rf"{LETTER}+")
 #: Tokens that a task keeps readings of, and rows that it works on at once.
@@ -105,6 +107,10 @@ def letter_model(counts: DataFrame) -> LetterModel:
     return LetterModel(t.column("gram").to_numpy(), t.column("n").to_numpy())
 
 
+#: Readings of a sign that stands for any letter or none.
+MASK = [(x, 2.0) for x in ALPHABET[1:27]] + [("", 3.0)]
+
+
 def lattice(token: str) -> list[list[tuple[str, float]]]:
     """Readings of each place of a token with their costs; a place is a sign, a letter or a run of equal letters."""
     out: list[list[tuple[str, float]]] = []
@@ -120,7 +126,7 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             if c.isalnum():
                 reads.append((c, 1.0))
         elif c in ANY:
-            out += [[(x, 2.0) for x in ALPHABET[1:27]] + [("", 3.0)]] * (n if n < 3 else 0)
+            out += [MASK] * n
             reads = [("", 0.0)]
         elif n == 1:
             reads = [(c, 0.0)]
@@ -131,11 +137,50 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
+States = dict[tuple[int, int, int], tuple[float, str]]
+
+
+def masked(states: States, places: int, model: np.ndarray) -> States:
+    """``states`` after so many places of ``MASK``, on arrays over the letters that can occur, as each place multiplies the states."""
+    used = sorted({*range(1, 27), *(x for k in states for x in k)})
+    at = {c: i for i, c in enumerate(used)}
+    own, size = model[np.ix_(used, used, used, used)], len(used)
+    best, texts = np.full((size,) * 3, -np.inf), np.full((size,) * 3, "", object)
+    for k, (s, t) in states.items():
+        best[tuple(at[x] for x in k)], texts[tuple(at[x] for x in k)] = s, t
+    letters, free = np.array([ALPHABET[c] if 0 < c < 27 else "" for c in used], object), np.array([0.0 if 0 < c < 27 else -np.inf for c in used])
+    y, z, d = np.ix_(range(size), range(size), range(size))
+    for k in range(places):
+        after = best[..., None] + own
+        first = after.argmax(0)
+        after = np.take_along_axis(after, first[None], 0)[0] + free - MASK[0][1]
+        stay = best - MASK[-1][1]
+        if not (after > stay).any():  # nor will a later place add a letter
+            best = best - (places - k) * MASK[-1][1]
+            break
+        texts = np.where(after > stay, texts[first, y, z] + letters[d], texts)
+        best = np.maximum(after, stay)
+    return {(used[i], used[j], used[k]): (float(best[i, j, k]), texts[i, j, k]) for i, j, k in zip(*np.nonzero(np.isfinite(best)), strict=True)}
+
+
 def decode(token: str, model: np.ndarray) -> str:
     """Best reading of a token by Viterbi over its lattice; a state is the last three letters."""
-    states: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
-    for reads in lattice(token):
-        after: dict[tuple[int, int, int], tuple[float, str]] = {}
+    return best_path(lattice(token), model)[1]
+
+
+def best_path(places: list[list[tuple[str, float]]], model: np.ndarray) -> tuple[float, str]:
+    """(score, text) of the best path through the readings of ``places``."""
+    states: States = {(0, 0, 0): (0.0, "")}
+    i = 0
+    while i < len(places):
+        reads, j = places[i], i + 1
+        while reads is MASK and j < len(places) and places[j] is MASK:
+            j += 1
+        if j - i > 1:
+            states, i = masked(states, j - i, model), j
+            continue
+        i = j
+        after: States = {}
         for (a, b, c), (score, text) in states.items():
             for letters, cost in reads:
                 s, x, y, z = score - cost, a, b, c
@@ -147,11 +192,29 @@ def decode(token: str, model: np.ndarray) -> str:
                 if old is None or (s, text + letters) > old:
                     after[(x, y, z)] = (s, text + letters)
         states = after
-    return max((s + float(model[x, y, z, 0]), t) for (x, y, z), (s, t) in states.items())[1]
+    return max((s + float(model[x, y, z, 0]), t) for (x, y, z), (s, t) in states.items())
+
+
+def signed(token: str, model: np.ndarray) -> list[tuple[float, str]]:
+    """(score, text) of a token of signs only: the best reading, and the best one with a letter for each sign."""
+    each = [MASK[:-1] if c in ANY else [(x, 0.5) for x in SIGNS[c]] for c in token.lower()]
+    return [best_path(places, model) for places in (lattice(token), each)]
+
+
+def signs_only(token: str) -> str:
+    """A token of signs only without the punctuation around it that doesn't stand for letters; empty for any other token."""
+    core = token.strip("".join(c for c in AROUND if c not in SIGNS and c not in ANY))
+    return core if SIGNED.fullmatch(core) else ""
 
 
 def reading(token: str, model: np.ndarray) -> list[str]:
-    """Lower-case words that a token without white space stands for; a plain token stands for its own letters."""
+    """Lower-case words that a token without white space stands for; a plain token stands for its own letters.
+
+    A token of signs only stands for a word if that is likelier than as many letters at random; else it is a number.
+    """
+    if core := signs_only(token):
+        score, text = max(signed(core, model))
+        return WORD.findall(text) if score > -(len(text) + 1) * math.log(SIZE) else []
     core = token.strip(AROUND)
     if not core.isalpha():
         core = DECORATION.sub("", INVISIBLE.sub("", token)).strip(AROUND)
@@ -165,6 +228,8 @@ def reading(token: str, model: np.ndarray) -> list[str]:
 def readings(token: str, model: np.ndarray) -> set[str]:
     """The words of ``reading`` and the token's own letters."""
     words = reading(token, model)
+    if core := signs_only(token):
+        words = [w for _, t in signed(core, model) for w in WORD.findall(t)]
     return {*words} if token.isalpha() and len(words) == 1 and len(words[0]) == len(token) else {*words, *WORD.findall(token.lower())}
 
 

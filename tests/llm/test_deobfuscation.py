@@ -1,3 +1,5 @@
+import itertools
+
 import numpy as np
 
 from scenequarry.llm import deobfuscation as X
@@ -64,3 +66,31 @@ def test_nulls_empty_tables_and_long_notes(spark, letters):
     assert X.score_notes(df.limit(0), model).collect() == []
     flat = X.letter_model(X.letter_counts(df.limit(0)))
     assert np.allclose(np.exp(flat.table).sum(-1), 1, atol=1e-3)
+
+
+MORE_HIDDEN = {"stuupid": "stupid", "iddiot": "idiot", "moroon": "moron", "iiddiot": "idiot", "455": "ass", "@$$": "ass", "st***d": "stupid", "tr***h": "trash", "p********c": "pathetic"}
+
+
+def test_doubled_letters_signs_only_and_long_masks(letters):
+    for token, word in MORE_HIDDEN.items():
+        assert word in X.readings(token, letters.table), token
+    for plain in ("see", "disgusting", "boat!!", "2024", "1,000", "100", "***", "!!!", "(1)"):
+        assert X.reading(plain, letters.table) == X.WORD.findall(plain.lower()), plain
+    assert X.decode("b" + "*" * 60 + "t", letters.table)[0] == "b"
+
+
+def test_masks_equal_all_paths(letters):
+    for token in ("r***r", "c**wn", "*?#s"):
+        best = (-np.inf, "")
+        for reads in itertools.product(*X.lattice(token)):
+            text, s, a = "".join(r[0] for r in reads), -sum(r[1] for r in reads), (0, 0, 0)
+            for ch in text:
+                s, a = s + float(letters.table[a][X.CODE[ch]]), (*a[1:], X.CODE[ch])
+            best = max(best, (s + float(letters.table[a][0]), text))
+        assert np.isclose(X.best_path(X.lattice(token), letters.table)[0], best[0]), token
+
+
+def test_notes_hidden_by_repetition(spark, letters):
+    model = X.ToxicityModel(letters, 0.01, {"=idiot": 0.9, "=stupid": 0.9, "=moron": 0.9})
+    rows = [(i, f"the river {t} house") for i, t in enumerate(("stuupid", "iddiot", "moroon", "iiddiot", "st***d"))]
+    assert all(r.toxicity > 0.9 for r in X.score_notes(spark.createDataFrame(rows, "asset_id long, notes string"), model).collect())
