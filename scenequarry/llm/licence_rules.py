@@ -16,17 +16,33 @@ SENTENCES: tuple[tuple[int, str], ...] = (
     (3, r"permission is hereby granted free of charge to any person obtaining a copy of this software .*"),
     (4, r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
     (5, r"the software is provided as is without warranty of any kind .*"),
-    (10, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|licensed|distributed|available|provided) under the (?:terms of the )?apache licen[sc]e(?: version)? 2(?:\.0)?(?: the licen[sc]e)?"),
+    (10, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|licensed|distributed|available|provided) under the (?:terms of the )?apache licen[sc]e(?: version)? 2(?:\.0)?(?: \(? ?the licen[sc]e ?\)?)?"),
     (11, r"apache licen[sc]e(?: version)? 2(?:\.0)?(?: january 2004)?(?: .*licenses.*)?"),
     (12, r"you may not use this file except in compliance with the licen[sc]e"),
     (13, r"you may obtain a copy of the licen[sc]e at .*apache org.*|you may obtain a copy of the licen[sc]e at"),
     (14, r"unless required by applicable law or agreed to in writing software distributed under the licen[sc]e is distributed on an as is basis .*"),
-    (20, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|licensed|distributed|available|provided) under the (?:terms of the )?gnu general public licen[sc]e(?: version)? (?:v)?(?P<v>[123](?:\.0)?)(?: or (?:\(at your option\) )?(?:any )?later(?: version)?)?"),
-    (21, r"gnu general public licen[sc]e(?: version)? (?:v)?[123](?:\.0)?(?: .*)?"),
-    (22, r"this program is free software you can redistribute it and/?or modify it under the terms of the gnu general public licen[sc]e .*"),
+    (20, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|licensed|distributed|available|provided) under the (?:terms of the )?gnu general public licen[sc]e(?: version)? (?:v)?3(?:\.0)?(?: or (?:\(at your option\) )?(?:any )?later(?: version)?)?"),
+    (23, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|licensed|distributed|available|provided) under the (?:terms of the )?gnu general public licen[sc]e(?: version)? (?:v)?2(?:\.0)?(?: or (?:\(at your option\) )?(?:any )?later(?: version)?)?"),
+    (24, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|licensed|distributed|available|provided) under the (?:terms of the )?gnu general public licen[sc]e(?: version)? (?:v)?1(?:\.0)?(?: or (?:\(at your option\) )?(?:any )?later(?: version)?)?"),
+    (21, r"gnu general public licen[sc]e(?: version)? (?:v)?3(?:\.0)?(?: .*)?"),
+    (25, r"gnu general public licen[sc]e(?: version)? (?:v)?2(?:\.0)?(?: .*)?"),
+    (26, r"gnu general public licen[sc]e(?: version)? (?:v)?1(?:\.0)?(?: .*)?"),
+    (27, r"(?:this program is free software )?you can redistribute it and/?or modify it under the terms of the gnu general public licen[sc]e .* version 3(?:\.0)? of the licen[sc]e.*"),
+    (28, r"(?:this program is free software )?you can redistribute it and/?or modify it under the terms of the gnu general public licen[sc]e .* version 2(?:\.0)? of the licen[sc]e.*"),
+    (29, r"(?:this program is free software )?you can redistribute it and/?or modify it under the terms of the gnu general public licen[sc]e .* version 1(?:\.0)? of the licen[sc]e.*"),
+    (22, r"(?:this program is free software )?you can redistribute it and/?or modify it under the terms of the gnu general public licen[sc]e .*"),
+    (60, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|licensed|distributed|available|provided) under the (?:terms of the )?gnu (?:lesser|library) general public licen[sc]e(?: version)? (?:v)?3(?:\.0)?(?: or (?:\(at your option\) )?(?:any )?later(?: version)?)?"),
+    (61, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|licensed|distributed|available|provided) under the (?:terms of the )?gnu (?:lesser|library) general public licen[sc]e(?: version)? (?:v)?2\.1(?: or (?:\(at your option\) )?(?:any )?later(?: version)?)?"),
+    (62, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|licensed|distributed|available|provided) under the (?:terms of the )?gnu (?:lesser|library) general public licen[sc]e(?: version)? (?:v)?2(?:\.0)?(?: or (?:\(at your option\) )?(?:any )?later(?: version)?)?"),
+    (63, r"(?:this (?:program|library) is free software )?you can redistribute it and/?or modify it under the terms of the gnu (?:lesser|library) general public licen[sc]e .* version 3(?:\.0)? of the licen[sc]e.*"),
+    (64, r"(?:this (?:program|library) is free software )?you can redistribute it and/?or modify it under the terms of the gnu (?:lesser|library) general public licen[sc]e .* version 2\.1 of the licen[sc]e.*"),
+    (65, r"(?:this (?:program|library) is free software )?you can redistribute it and/?or modify it under the terms of the gnu (?:lesser|library) general public licen[sc]e .* version 2(?:\.0)? of the licen[sc]e.*"),
     (30, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:a )?(?:terms of the )?(?:cc|creative commons) by nc(?: [234](?:\.[05])?)?(?: licen[sc]e)?"),
     (31, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:a )?(?:terms of the )?(?:cc|creative commons) by(?: [234](?:\.[05])?)?(?: licen[sc]e)?"),
     (32, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:a )?(?:terms of the )?(?:cc|creative commons) by sa(?: [234](?:\.[05])?)?(?: licen[sc]e)?"),
+    (34, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:a )?(?:terms of the )?(?:cc|creative commons) by nc sa(?: [234](?:\.[05])?)?(?: licen[sc]e)?"),
+    (35, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:a )?(?:terms of the )?(?:cc|creative commons) by nd(?: [234](?:\.[05])?)?(?: licen[sc]e)?"),
+    (36, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:a )?(?:terms of the )?(?:cc|creative commons) by nc nd(?: [234](?:\.[05])?)?(?: licen[sc]e)?"),
     (33, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|dedicated|available) (?:under|to) (?:the )?(?:cc0|public domain)(?: 1\.0)?.*"),
     (40, r"(?:this (?:work|software|project|code|file|program|document|dataset) is )?(?:released|licensed|distributed|available|provided) under the (?:terms of the )?(?:new |modified |simplified )?bsd (?:[23] clause )?licen[sc]e"),
     (41, r"redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
@@ -36,6 +52,8 @@ SENTENCES: tuple[tuple[int, str], ...] = (
     (51, r"spdx licen[sc]e identifier mit"),
     (52, r"spdx licen[sc]e identifier apache 2\.0"),
     (53, r"spdx licen[sc]e identifier gpl 3\.0(?: only| or later)?"),
+    (54, r"spdx licen[sc]e identifier gpl 2\.0(?: only| or later)?"),
+    (55, r"spdx licen[sc]e identifier gpl 1\.0(?: only| or later)?"),
 )
 #: Every known sentence holds one of these words, so that other sentences need no matching.
 HINTS = r"licen[sc]e|permission|copyright|redistribut|as is|contributors|rights reserved|public domain|under (?:the |a )?(?:cc|creative)"
@@ -54,7 +72,9 @@ RULES: tuple[LicenceRule, ...] = (
     LicenceRule("MIT", (2, 3, 4, 5)), LicenceRule("MIT", (3, 4, 5)), LicenceRule("Apache-2.0", (10, 12, 13, 14)), LicenceRule("Apache-2.0", (12, 13, 14)),
     LicenceRule("BSD-3-Clause", (41, 42, 43)), LicenceRule("BSD-2-Clause", (41, 43)),
     LicenceRule("MIT", (1,)), LicenceRule("MIT", (51,)), LicenceRule("MIT", (2,)), LicenceRule("Apache-2.0", (10,)), LicenceRule("Apache-2.0", (52,)), LicenceRule("Apache-2.0", (11,)),
-    LicenceRule("GPL-3.0", (20,)), LicenceRule("GPL-3.0", (53,)), LicenceRule("GPL", (22,)), LicenceRule("GPL", (21,)),
+    *(LicenceRule(f"GPL-{v}.0", (n,)) for v, own in ((3, (20, 53, 27, 21)), (2, (23, 54, 28, 25)), (1, (24, 55, 29, 26))) for n in own), LicenceRule("GPL", (22,)),
+    *(LicenceRule(f"LGPL-{v}", (n,)) for v, own in (("3.0", (60, 63)), ("2.1", (61, 64)), ("2.0", (62, 65))) for n in own),
+    LicenceRule("CC-BY-NC-SA", (34,)), LicenceRule("CC-BY-NC-ND", (36,)), LicenceRule("CC-BY-ND", (35,)),
     LicenceRule("CC-BY-NC", (30,)), LicenceRule("CC-BY-SA", (32,)), LicenceRule("CC-BY", (31,)), LicenceRule("public-domain", (33,)), LicenceRule("BSD", (40,)), LicenceRule("proprietary", (50,)),
 )
 
@@ -77,6 +97,27 @@ def sentence_id(sentence: Column, known: Sequence[tuple[int, str]] = SENTENCES)
     return F.when(sentence.rlike(HINTS), out)
 
 
+def units(text: Column) -> Column:
+    """Sentences that may run over line ends: cut at lines without letters or digits and at sentence ends."""
+    return F.split(text, r"\R(?:[^\p{L}\p{N}\r\n]*\R)+|(?<=[.!?;])\s+")
+
+
+def unit_ids(unit: Column, known: Sequence[tuple[int, str]] = SENTENCES) -> Column:
+    """Numbers of the known sentences of a unit, in text order.
+
+    A line that is a known sentence by itself keeps its number. Then the lines between those are matched with a line end
+    wherever a form has a space, from the start of a line to the end of one; ``.*`` takes as few lines as it can.
+    """
+    lines = F.transform(F.split(unit, r"\R+"), normalised)
+    marked = F.concat_ws("\n", F.transform(lines, lambda s: F.coalesce(F.concat(F.lit("\x01"), sentence_id(s, known).cast("string"), F.lit("\x02")), s)))
+    joined = marked
+    for number, form in known:
+        wrapped = form.replace("(?P<v>", "(?:").replace(".*", r"[^\x01\x02]*?").replace(" ", r"[ \n]")
+        joined = F.regexp_replace(joined, f"(?m)^(?:{wrapped})$", f"\x01{number}\x02")
+    joined = F.when(F.size(lines) > 1, joined).otherwise(marked)
+    return F.transform(F.regexp_extract_all(joined, F.lit(r"\x01(\d+)\x02"), 1), lambda x: x.cast("int"))
+
+
 def _one_pass(ids: Column, rules: Sequence[LicenceRule]) -> Column:
     """Licences of the rules that fire, in the order of the rules; a rule takes the sentences that it needs."""
     state = F.struct(ids.alias("left"), F.array().cast("array<string>").alias("found"))
@@ -98,13 +139,13 @@ def scan_notes(assets: DataFrame, notes: str = "notes", known: Sequence[tuple[in
     """``assets`` with ``n_sentences``, ``sentence_ids`` (in text order) and ``licences`` (in rule order, each once).
 
     A licence is found when all sentences of one of its rules occur in order; a sentence that a rule took is not used by
-    later ones. Notes without a known sentence, empty ones and null have empty lists. Whole notes are read, inside the
+    later ones. ``n_sentences`` counts line ends as sentence ends; known sentences may run over them. Notes without a known sentence, empty ones and null have empty lists. Whole notes are read, inside the
     row: nothing is shuffled. Existing columns of these names are replaced.
     """
-    # only sentences that hold a hint are put in normal form
+    # only units that hold a hint are put in normal form
     parts = F.filter(sentences(F.coalesce(F.col(notes), F.lit(""))), lambda s: F.trim(s) != "")
-    hinted = F.transform(F.filter(parts, lambda s: s.rlike(f"(?i){HINTS}")), normalised)
-    ids = F.filter(F.transform(hinted, lambda s: sentence_id(s, known)), lambda x: x.isNotNull())
+    hinted = F.filter(units(F.coalesce(F.col(notes), F.lit(""))), lambda s: s.rlike(f"(?i){HINTS}"))
+    ids = F.flatten(F.transform(hinted, lambda s: unit_ids(s, known)))
     counted = assets.drop("n_sentences", "sentence_ids", "licences").withColumn("n_sentences", F.size(parts).cast("long")).withColumn("sentence_ids", ids)
     none = F.array().cast("array<string>")
     return counted.withColumn("licences", F.when(F.size("sentence_ids") > 0, _one_pass(F.col("sentence_ids"), rules)).otherwise(none))

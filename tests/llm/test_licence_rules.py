@@ -36,3 +36,17 @@ def test_query_equals_its_sql(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert got == sorted(con.execute(Q.ORACLES["op2_license_scan"]).fetchall())
+
+
+def test_published_wrapped_texts(spark):
+    apache = 'Copyright 2020 Some One\n\nLicensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an "AS IS" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\n'
+    mit = 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED.'
+    gpl = "This program is free software{} you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version {} of the License, or\n(at your option) any later version."
+    texts = [
+        (apache, "Apache-2.0"), ("# " + apache.replace("\n", "\n# "), "Apache-2.0"), (mit, "MIT"), (gpl.format(":", 3), "GPL-3.0"), (gpl.format(";", 2), "GPL-2.0"),
+        ("Licensed under the GNU General Public License, version 2.", "GPL-2.0"), ("Licensed under the GNU General Public License v1", "GPL-1.0"), ("Licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1"),
+        ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA"), ("Licensed under CC BY-ND 4.0.", "CC-BY-ND"), ("Some line\nreleased under the\nMIT License\nReleased under CC BY 4.0", "MIT,CC-BY"), ("Released under the\n\nMIT of old", ""),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "asset_id long, notes string")
+    got = {r.asset_id: ",".join(r.licences) for r in L.scan_notes(df).collect()}
+    assert got == {i: w for i, (_, w) in enumerate(texts)}
