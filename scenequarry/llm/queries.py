@@ -15,7 +15,10 @@ from scenequarry.llm import licence_rules as L
 from scenequarry.llm import multiprobe as M
 from scenequarry.llm import near_frames as N
 from scenequarry.llm import page_content as C
+from scenequarry.llm import phrase_stripes as T
 from scenequarry.llm import pieces as P
+from scenequarry.llm import span_hashes as H
+from scenequarry.llm import subvector_palette as V
 from scenequarry.llm import url_rules as U
 from scenequarry.session import cut
 
@@ -236,3 +239,52 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     found = C.extract_pages(pages, C.fit_content_model(C.self_labelled(pages)))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op11_document_fingerprints")
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    strings = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("key"), "text")
+    return H.compare_neighbours(strings).withColumnRenamed("key", "doc_id")
+
+
+@query("op12_phrase_collocations")
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.mine_phrases(spark.read.parquet(f"{sf_dir}/documents.parquet").select("lang", F.col("doc_id").alias("key"), "text"))
+
+
+ORACLES["op12_phrase_collocations"] = """WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM documents),
+p AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda z: z <> '') AS w FROM t),
+g AS (SELECT lang, array_to_string(w[i : i + size - 1], ' ') AS phrase, size FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM p, (SELECT unnest([1, 2, 3]) AS size))),
+f AS (SELECT lang, phrase, size, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+s AS (SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, CAST((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM c) c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1 : k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1 :], ' ')),
+b AS (SELECT lang, phrase, a, min({'score': score, 'k': k, 'l': l, 'r': r}) AS v FROM s GROUP BY lang, phrase, a),
+h AS (SELECT lang, array_to_string(w[i : i + 1], ' ') AS phrase, max(a) AS longer FROM (SELECT *, unnest([1, 2]) AS i FROM c WHERE size = 3) GROUP BY ALL),
+k AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY v.score DESC, a DESC, encode(b.phrase)) AS rank FROM b LEFT JOIN h USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, rank, phrase, a, v.l AS l, v.r AS r, n, v.score AS score FROM k JOIN n USING (lang) WHERE rank <= 2000"""
+
+
+@query("op13_centroid_clustering")
+def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("splat_id"), F.col("embedding").alias("features"))
+    return V.cluster_splats(vectors).withColumnRenamed("splat_id", "vec_id")
+
+
+def _rounds_sql(rounds: int = 5, k: int = 40) -> str:
+    """Rounds written out one after another: all distances, the nearest centroid, sums by component."""
+    nearest = "(SELECT i, arg_min(c, (d, c)) AS c, min(d) AS d FROM (SELECT v.i, m.c, sum((v.x - m.x) * (v.x - m.x)) AS d FROM v JOIN m{0} m USING (j) GROUP BY v.i, m.c) GROUP BY i)"
+    steps = []
+    for n in range(rounds):
+        moved = "SELECT c, j, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS x FROM (SELECT c, j, sum(x)::BIGINT AS s, count(*) AS n FROM a JOIN v USING (i) GROUP BY c, j)"
+        steps.append(f"m{n + 1} AS MATERIALIZED (WITH a AS {nearest.format(n)}, w AS ({moved}) SELECT c, j, coalesce(w.x, m.x) AS x FROM m{n} m LEFT JOIN w USING (c, j))")
+    return f"""WITH e AS MATERIALIZED (SELECT vec_id AS i, embedding AS e FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda z: z IS NOT NULL AND isfinite(z))) = 64),
+v AS MATERIALIZED (SELECT i, j, CAST(floor(256 * x::DOUBLE) AS BIGINT) AS x FROM (SELECT i, unnest(e) AS x, generate_subscripts(e, 1) AS j FROM e)),
+m0 AS MATERIALIZED (SELECT c, j, x FROM (SELECT i, row_number() OVER (ORDER BY sha256('2:' || i)) - 1 AS c FROM e) JOIN v USING (i) WHERE c < {k}), {", ".join(steps)},
+a AS MATERIALIZED {nearest.format(rounds)},
+s AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY j)) AS centroid_sha256 FROM m{rounds} GROUP BY c)
+SELECT i AS vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256 FROM a JOIN s USING (c)"""
+
+
+ORACLES["op13_centroid_clustering"] = _rounds_sql()
