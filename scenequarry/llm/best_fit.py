@@ -21,7 +21,7 @@ from scenequarry.session import cut
 ODD_GAP = re.compile("[\x1c-\x1f]")
 GAP = re.compile("[\t-\r \x85\xa0  -     　]+")
 #: Words kept with their ids in a worker, and characters of text that are split at once.
-CACHE, SLICE = 400_000, 1_000_000
+CACHE, SLICE = 300_000, 1_000_000
 # Fixed value: how the vocabulary's own file splits words. With it, letters and the signs after them are two pieces.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SIMPLE = re.compile("([a-zß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
@@ -47,6 +47,9 @@ class WordIds:
         cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
         self.simple = steps == ["NFC", "Replace", "Lowercase"] and [x.get("type") for x in cuts] == ["Split", "ByteLevel"] and cuts[0]["pattern"] == {"Regex": WORD_PATTERN} and not cuts[1]["add_prefix_space"]
         self.letters = _byte_letters()
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
 
@@ -128,6 +131,7 @@ def token_pieces(assets: DataFrame, vocabulary: str, asset_id: str = "asset_id",
                         length.append(len(part) // 4)
                         ids.append(part)
                 yield pa.RecordBatch.from_arrays([owner.take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary())], [asset_id, "piece", "start", "length", "ids"])
+        word_ids(vocabulary).forget()  # the worker lives on, and other stages need its memory
 
     kind = assets.schema[asset_id].dataType.simpleString()
     return assets.select(F.col(asset_id), F.col(notes)).mapInArrow(run, f"`{asset_id}` {kind}, piece int, start long, length long, ids binary")

@@ -40,8 +40,11 @@ SUSPECT = re.compile(rf"{LETTER}[{_SIGN}]|[{_SIGN}]{LETTER}|({LETTER})\1", re.IG
 SIGNED = re.compile(rf"(?=.*[^{re.escape(ANY)}])[{_SIGN}]{{3,}}", re.IGNORECASE)
 INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
 WORD = re.compile(rf"{LETTER}+")
-#: Tokens that a task keeps readings of, and rows that it works on at once.
-KNOWN, ROWS = 200_000, 500
+#: Punctuation around a token of signs, as far as it doesn't stand for letters itself.
+EDGE = "".join(c for c in AROUND if c not in SIGNS and c not in ANY)
+DOUBLED, SIGN = re.compile(r"(.)\1"), re.compile(f"[{_SIGN}]")
+#: Tokens that a task keeps readings of, and rows that it scores and counts at once.
+KNOWN, ROWS, COUNTED = 120_000, 500, 128
 
 
 def letter_counts(assets: DataFrame, notes: str = "notes") -> DataFrame:
@@ -59,14 +62,14 @@ def letter_counts(assets: DataFrame, notes: str = "notes") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SIZE**4, np.uint32)
         for b in batches:
-            for k in range(0, b.num_rows, ROWS):
-                texts = [t for t in b.column(0).slice(k, ROWS).to_pylist() if t]
+            for k in range(0, b.num_rows, COUNTED):
+                texts = [t for t in b.column(0).slice(k, COUNTED).to_pylist() if t]
                 chars = np.frombuffer("\n".join(["", *texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
                 c = table[np.minimum(chars, len(table) - 1)]
                 c[chars >= len(table)] = OTHER
                 c = c[np.concatenate([[True], (c[1:] != 0) | (c[:-1] != 0)])]
                 c = np.repeat(c, np.where(c == 0, 3, 1))
-                total += np.bincount(((c[:-3] * SIZE + c[1:-2]) * SIZE + c[2:-1]) * SIZE + c[3:], minlength=SIZE**4).astype(np.uint32)
+                np.add.at(total, ((c[:-3] * SIZE + c[1:-2]) * SIZE + c[2:-1]) * SIZE + c[3:], np.uint32(1))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen].astype(np.int64))], ["gram", "n"])
 
@@ -203,7 +206,9 @@ def signed(token: str, model: np.ndarray) -> list[tuple[float, str]]:
 
 def signs_only(token: str) -> str:
     """A token of signs only without the punctuation around it that doesn't stand for letters; empty for any other token."""
-    core = token.strip("".join(c for c in AROUND if c not in SIGNS and c not in ANY))
+    if token.isascii() and token.isalpha():
+        return ""
+    core = token.strip(EDGE)
     return core if SIGNED.fullmatch(core) else ""
 
 
@@ -233,6 +238,36 @@ def readings(token: str, model: np.ndarray) -> set[str]:
     return {*words} if token.isalpha() and len(words) == 1 and len(words[0]) == len(token) else {*words, *WORD.findall(token.lower())}
 
 
+def heads(parts: dict[str, float]) -> set[str]:
+    """First three letters of all features."""
+    return {f[1:4] if f[0] == "=" else f[:3] for f in parts}
+
+
+def may_tell(token: str, known: set[str]) -> bool:
+    """Whether some reading of a token can begin as a feature does (``heads``).
+
+    A word without signs can only be read with each of its doubled letters once or twice, so a look at those spellings
+    spares the decoder where none of them tells anything. Any other token may.
+    """
+    word = token.strip(AROUND).lower()
+    if not word.isalpha() or not word.isascii() and SIGN.search(word):
+        return True
+    if word[:3] in known:
+        return True
+    spellings, at = {""}, 0
+    for m in DOUBLED.finditer(word):
+        if m.start() < at:  # inside a longer run
+            continue
+        spellings = {s + word[at : m.start()] + c for s in spellings for c in (m[1], m[0])}
+        at = m.end()
+        while at < len(word) and word[at] == m[1]:
+            at += 1
+        spellings = {s[:3] for s in spellings}
+        if all(len(s) == 3 for s in spellings):
+            break
+    return bool(at) and any((s + word[at:])[:3] in known for s in spellings)
+
+
 def runs(tokens: list[str]) -> list[tuple[int, int]]:
     """(first, end) of at least three single characters in a row."""
     ones = [i for i, w in enumerate(tokens) if len(w) == 1]
@@ -305,7 +340,8 @@ class ToxicityModel:
     parts: dict[str, float] = field(default_factory=dict)
 
     def told(self) -> Words:
-        return Words(lambda t: [f for w in readings(t, self.letters.table) for f in features(w) if f in self.parts])
+        known = heads(self.parts)
+        return Words(lambda t: [f for w in readings(t, self.letters.table) for f in features(w) if f in self.parts] if may_tell(t, known) else ())
 
     def hits(self, text: str | None, words: Words) -> set[str]:
         return words.of(text, self.letters.table, lambda w: [f for f in features(w) if f in self.parts]) if text else set()

@@ -94,3 +94,18 @@ def test_notes_hidden_by_repetition(spark, letters):
     model = X.ToxicityModel(letters, 0.01, {"=idiot": 0.9, "=stupid": 0.9, "=moron": 0.9})
     rows = [(i, f"the river {t} house") for i, t in enumerate(("stuupid", "iddiot", "moroon", "iiddiot", "st***d"))]
     assert all(r.toxicity > 0.9 for r in X.score_notes(spark.createDataFrame(rows, "asset_id long, notes string"), model).collect())
+
+
+def test_spared_tokens_tell_nothing(letters):
+    import random
+
+    r = random.Random(2)
+    model = X.ToxicityModel(letters, 0.1, {"=the": 0.2, "=idiot": 0.9, "stup": 0.9, "=mor": 0.5, "scumm": 0.7, "=eel": 0.4, "ïnne": 0.3})
+    known = X.heads(model.parts)
+    tokens = ["".join(r.choice("abdeinlmorstuupcïЕоа0$*.") for _ in range(r.randrange(1, 9))) for _ in range(3000)]
+    tokens += ["sstuupid", "tthhee", "idioott!!", "iiddiioott", "mmoooorr", "scummmmm", "eeell", "(stupid)", "ïnnner", "ttthe", "eel"]
+    spared = [t for t in tokens if not X.may_tell(t, known)]
+    assert len(spared) > 300
+    for t in tokens:
+        full = {f for w in X.readings(t, letters.table) for f in X.features(w) if f in model.parts}
+        assert full == model.hits(t, model.told())
