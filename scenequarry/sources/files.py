@@ -6,17 +6,20 @@ import math
 import re
 import sys
 from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scenequarry.session import cut
 
-from scenequarry.operators.scale import rank_rows
+from scenequarry.operators.scale import attach, rank_rows
 from scenequarry.sources.models import scene_of
+from scenequarry.sources.ranges import RANGE_BYTES, in_tasks, listed_files, numbered_lines, open_path, same_path
 
 # executors get the batch readers by value and need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,69 +35,110 @@ SPLAT_COLUMNS = ("x", "y", "z", "opacity_raw", "s0", "s1", "s2", "qw", "qx", "qy
 PLY_NAMES = ("x", "y", "z", "opacity", "scale_0", "scale_1", "scale_2", "rot_0", "rot_1", "rot_2", "rot_3", "f_dc_0", "f_dc_1", "f_dc_2")
 
 
-def ply_table(content: bytes) -> np.ndarray:
-    """Vertex records of a PLY file (binary little endian or ascii) by its declared header."""
-    end = content.index(b"end_header") + len(b"end_header")
-    head = content[:end].decode("ascii", "replace").splitlines()
-    start = content.index(b"\n", end) + 1
-    fmt, count, fields, inside = "", 0, [], False
-    for line in head:
-        w = line.split()
-        if not w:
-            continue
+def ply_head(f: BinaryIO) -> dict:
+    """What the header of a PLY file declares: format, vertex rows and fields, and where they begin (bytes and lines)."""
+    data = b""
+    while (end := data.find(b"end_header")) < 0 or b"\n" not in data[end:]:
+        more = f.read(1 << 16)
+        if not more:
+            raise ValueError("no PLY header")
+        data += more
+    start = data.index(b"\n", end) + 1
+    lines = [w for w in (line.split() for line in data[:start].decode("ascii", "replace").splitlines()) if w]
+    head = {"fmt": "", "count": 0, "fields": [], "start": start, "lines": len(lines)}
+    order, element, before = "<", None, []
+    for w in lines:
         if w[0] == "format":
-            fmt = w[1]
+            head["fmt"], order = w[1], ">" if w[1] == "binary_big_endian" else "<"
         elif w[0] == "element":
-            inside = w[1] == "vertex"
-            if inside:
-                count = int(w[2])
-        elif w[0] == "property" and inside:
-            if w[1] == "list":
-                raise ValueError("list properties are not expected on vertices")
-            fields.append((w[2], ("<" if fmt != "binary_big_endian" else ">") + PLY_TYPES[w[1]]))
-    dtype = np.dtype(fields)
-    if fmt == "ascii":
-        rows = np.loadtxt(content[start:].decode().splitlines()[:count], ndmin=2)
-        out = np.zeros(count, dtype)
-        for i, (n, _) in enumerate(fields):
-            out[n] = rows[:, i]
-        return out
-    return np.frombuffer(content, dtype, count, start)
-
-
-def read_splats(spark: SparkSession, path: str) -> DataFrame:
+            element = w[1]
+            if element == "vertex":
+                head["count"] = int(w[2])
+                head["start"] += sum(n * size for n, size in before)
+                head["lines"] += sum(n for n, _ in before)
+            else:
+                before.append([int(w[2]), 0])
+        elif w[0] == "property":
+            if element == "vertex":
+                if w[1] == "list":
+                    raise ValueError("list properties are not expected on vertices")
+                head["fields"].append([w[2], order + PLY_TYPES[w[1]]])
+            elif w[1] != "list":
+                before[-1][1] += np.dtype(PLY_TYPES[w[1]]).itemsize
+            elif not head["fields"] and head["fmt"] != "ascii":
+                raise ValueError("list properties are not expected before vertices")
+    at = {n: i for i, (n, _) in enumerate(head["fields"])}
+    rest = sorted((n for n in at if n.startswith("f_rest_")), key=lambda n: int(n.rsplit("_", 1)[1]))
+    k = len(rest) // 3
+    # places of fields in a row; coefficients come channel by channel and go out as triples
+    head["own"], head["rgb"] = [at.get(n, -1) for n in PLY_NAMES], [at.get(n, -1) for n in ("red", "green", "blue")]
+    head["rest"] = [at[rest[c * k + i]] for i in range(k) for c in range(3)]
+    return head
+
+
+_SPLAT_SCHEMA = f"scene string, splat_id long, {', '.join(f'{c} double' for c in SPLAT_COLUMNS)}, shn array<double>, r short, g short, b short"
+
+
+def read_splats(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """All PLY files under ``path``: scene (folder), splat_id (row in file), the splat columns, shn, and r g b for plain clouds.
 
-    One file is one input row and yields chunks; colours default to white. Write the result partitioned by scene before use.
+    Headers are read once per file. Binary files are read in ranges of rows of about ``range_bytes``, each by its own task;
+    ascii files are split by Spark at line ends. The rows are the same for any size of ranges. Colours default to white.
+    Write the result partitioned by scene before use.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.ply").load(path)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for scene, content in zip(pdf["scene"], pdf["content"]):
-                v = ply_table(content)
-                has = set(v.dtype.names)
-                rest = sorted((n for n in has if n.startswith("f_rest_")), key=lambda n: int(n.rsplit("_", 1)[1]))
-                for a in range(0, len(v), CHUNK):
-                    c = v[a : a + CHUNK]
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for p in b.column(0).to_pylist():
+                with open_path(p) as f:
+                    h = ply_head(f)
+                width = np.dtype([tuple(x) for x in h["fields"]]).itemsize
+                row = {"path": p, "width": width, **h, "fields": [{"name": n, "type": t} for n, t in h["fields"]]}
+                yield pa.RecordBatch.from_pylist([row], schema)
+
+    ints = pa.list_(pa.int32())
+    schema = pa.schema([("path", pa.string()), ("width", pa.int64()), ("fmt", pa.string()), ("count", pa.int64()), ("start", pa.int64()), ("lines", pa.int64()), ("fields", pa.list_(pa.struct([("name", pa.string()), ("type", pa.string())]))), ("own", ints), ("rgb", ints), ("rest", ints)])
+    told = cut(listed_files(spark, path, "*.ply").select("path").mapInArrow(heads, "path string, width long, fmt string, count long, start long, lines long, fields array<struct<name:string,type:string>>, own array<int>, rgb array<int>, rest array<int>"))
+    return _binary_splats(told.filter("fmt <> 'ascii'"), range_bytes).unionByName(_ascii_splats(spark, told.filter("fmt = 'ascii'")))
+
+
+def _binary_splats(heads: DataFrame, range_bytes: int) -> DataFrame:
+    rows = F.greatest(F.lit(1), F.floor(F.lit(range_bytes) / F.greatest("width", F.lit(1))))
+    ranges = heads.filter("count > 0").withColumn("rows", rows).withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1, F.col("rows"))))
+    ranges = ranges.select("path", scene_of(F.col("path")).alias("scene"), "fields", "own", "rgb", "rest", (F.col("start") + F.col("first") * F.col("width")).alias("at"), "first", F.least("rows", F.col("count") - F.col("first")).alias("n"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in (r for b in batches for r in b.to_pylist()):
+            dtype = np.dtype([(x["name"], x["type"]) for x in r["fields"]])
+            with open_path(r["path"]) as f:
+                f.seek(r["at"])
+                for a in range(0, r["n"], CHUNK):
+                    c = np.frombuffer(f.read(min(CHUNK, r["n"] - a) * dtype.itemsize), dtype)
                     n = len(c)
-                    out = {"scene": [scene] * n, "splat_id": np.arange(a, a + n)}
-                    for name, src in zip(SPLAT_COLUMNS, PLY_NAMES):
-                        out[name] = c[src].astype(float) if src in has else [None] * n
-                    if rest:
-                        m = np.stack([c[r] for r in rest], 1).astype(float)
-                        k = m.shape[1] // 3
-                        out["shn"] = list(m.reshape(n, 3, k).transpose(0, 2, 1).reshape(n, 3 * k))
-                    else:
-                        out["shn"] = [None] * n
-                    for short, long in (("r", "red"), ("g", "green"), ("b", "blue")):
-                        out[short] = c[long].astype("int16") if long in has else np.full(n, 255, "int16")
-                    yield pd.DataFrame(out)
-
-    cols = ", ".join(f"{c} double" for c in SPLAT_COLUMNS)
-    return files.select(scene_of(F.col("path")).alias("scene"), "content").mapInPandas(
-        run, f"scene string, splat_id long, {cols}, shn array<double>, r short, g short, b short"
-    )
+                    field = lambda k: c[dtype.names[k]].astype(np.float64)  # noqa: B023, E731
+                    columns = [pa.array([r["scene"]] * n, pa.string()), pa.array(np.arange(n) + r["first"] + a)]
+                    columns += [pa.array(field(k)) if k >= 0 else pa.nulls(n, pa.float64()) for k in r["own"]]
+                    many = np.stack([field(k) for k in r["rest"]], 1).ravel() if r["rest"] else None
+                    columns.append(pa.nulls(n, pa.list_(pa.float64())) if many is None else pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * len(r["rest"]), pa.int32()), pa.array(many)))
+                    columns += [pa.array(field(k).astype(np.int16) if k >= 0 else np.full(n, 255, np.int16)) for k in r["rgb"]]
+                    yield pa.RecordBatch.from_arrays(columns, ["scene", "splat_id", *SPLAT_COLUMNS, "shn", "r", "g", "b"])
+
+    return in_tasks(ranges).mapInArrow(read, _SPLAT_SCHEMA)
+
+
+def _ascii_splats(spark: SparkSession, heads: DataFrame) -> DataFrame:
+    paths = [r.path for r in heads.select("path").toLocalIterator()]  # as many names as Spark lists to read them
+    if not paths:
+        return spark.createDataFrame([], _SPLAT_SCHEMA)
+    lines = numbered_lines(spark, paths, lambda v: F.trim(v) != "")
+    rows = attach(lines, heads.select(same_path(F.col("path")).alias("file"), "count", "lines", "own", "rgb", "rest"), ["file"]).filter((F.col("line") >= F.col("lines")) & (F.col("line") < F.col("lines") + F.col("count")))
+    rows = rows.withColumn("p", F.split(F.trim("value"), r"\s+"))
+    at = lambda places, i: F.get(F.col("p"), F.get(F.col(places), F.lit(i))).cast("double")
+    return rows.select(
+        scene_of(F.col("file")).alias("scene"), (F.col("line") - F.col("lines")).alias("splat_id"), *[F.when(F.get("own", F.lit(i)) >= 0, at("own", i)).alias(c) for i, c in enumerate(SPLAT_COLUMNS)],
+        F.when(F.size("rest") > 0, F.transform("rest", lambda k: F.get(F.col("p"), k).cast("double"))).alias("shn"),
+        *[F.when(F.get("rgb", F.lit(i)) >= 0, at("rgb", i)).otherwise(F.lit(255.0)).cast("short").alias(c) for i, c in enumerate("rgb")],
+    )
 
 
 def write_objects(splats: DataFrame, labels: DataFrame, path: str, min_count: int = 10) -> None:

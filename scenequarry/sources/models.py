@@ -8,12 +8,17 @@ from __future__ import annotations
 import struct
 import sys
 from collections.abc import Iterator
+from typing import BinaryIO
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scenequarry.sources.ranges import RANGE_BYTES, numbered_lines, ranged_records
+
 # executors get the record readers by value and need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -44,18 +49,29 @@ def read_cameras(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """images.txt: two raw lines per image, the second (observations) may be empty and is skipped.
+def read_images(spark: SparkSession, path: str, observations: bool = False) -> DataFrame:
+    """images.txt: two lines per image, the second (observations) may be empty; comment lines count for nothing.
 
-    Lines are paired before blank ones could be dropped, so an image without observations does not swallow its successor.
+    Large files are read by several tasks: lines are numbered across splits, and an image's line has an even number. With
+    ``observations`` the second line comes along as ``points2d``: array<struct<x, y, point_id>>.
     """
-    whole = spark.read.text(path, wholetext=True).select(scene_of(F.col("_metadata.file_path")).alias("scene"), "value")
-    body = F.filter(F.split("value", "\r?\n"), lambda x: ~F.trim(x).startswith("#"))
-    rows = whole.select("scene", F.posexplode(body).alias("n", "line")).filter("n % 2 = 0").select("scene", F.trim("line").alias("line"))
-    rows = rows.filter("line <> ''").withColumn("p", F.split("line", r"\s+", 10))
+    lines = numbered_lines(spark, path, lambda v: ~F.trim(v).startswith("#"))
+    if observations:
+        even = F.col("line") % 2 == 0
+        pairs = lines.groupBy("file", F.floor(F.col("line") / 2).alias("image"))
+        lines = pairs.agg(F.max(F.when(even, F.col("value"))).alias("value"), F.max(F.when(~even, F.col("value"))).alias("_second"))
+    else:
+        lines = lines.filter("line % 2 = 0").withColumn("_second", F.lit(None).cast("string"))
+    rows = lines.filter("trim(value) <> ''").select(scene_of(F.col("file")).alias("scene"), F.split(F.trim("value"), r"\s+", 10).alias("p"), F.filter(F.split(F.trim("_second"), r"\s+"), lambda x: x != "").alias("o"))
     names = ("image_id", "qw", "qx", "qy", "qz", "tx", "ty", "tz", "camera_id", "name")
     types = ("int", *["double"] * 7, "int", "string")
-    return rows.select("scene", *[F.get("p", F.lit(i)).cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))])
+    head = ["scene", *[F.get("p", F.lit(i)).cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))]]
+    if not observations:
+        return rows.select(*head)
+    o = lambda i, k, t: F.get("o", 3 * i + k).cast(t)
+    count = F.floor(F.size("o") / 3).cast("int")
+    points = F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.struct(o(i, 0, "double").alias("x"), o(i, 1, "double").alias("y"), o(i, 2, "long").alias("point_id"))))
+    return rows.select(*head, F.coalesce(points, F.array().cast("array<struct<x:double,y:double,point_id:bigint>>")).alias("points2d"))
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
@@ -87,17 +103,6 @@ def _camera_records(content: bytes) -> list[tuple]:
     return out
 
 
-def _image_records(content: bytes) -> list[tuple]:
-    n, off, out = struct.unpack_from("<Q", content)[0], 8, []
-    for _ in range(n):
-        head = struct.unpack_from("<i7di", content, off)
-        end = content.index(b"\0", off + 64)
-        points = struct.unpack_from("<Q", content, end + 1)[0]
-        out.append((*head, content[off + 64 : end].decode("utf-8", "replace")))
-        off = end + 9 + 24 * points
-    return out
-
-
 def _binary(spark: SparkSession, path: str, records, names: list[str], schema: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(path).select(scene_of(F.col("path")).alias("scene"), "content")
 
@@ -117,10 +122,86 @@ def read_cameras_binary(spark: SparkSession, path: str) -> DataFrame:
                    "camera_id int, model string, width long, height long, params array<double>")
 
 
-def read_images_binary(spark: SparkSession, path: str) -> DataFrame:
-    names = ["image_id", "qw", "qx", "qy", "qz", "tx", "ty", "tz", "camera_id", "name"]
-    return _binary(spark, path, _image_records, names,
-                   "image_id int, qw double, qx double, qy double, qz double, tx double, ty double, tz double, camera_id int, name string")
+def _image_index(f: BinaryIO) -> Iterator[tuple[int, int]]:
+    """Places of image records: a head of 64 bytes, a name that ends with a zero byte, a count, 24 bytes an observation."""
+    n, off = struct.unpack("<Q", f.read(8))[0], 8
+    for _ in range(n):
+        f.seek(off + 64)
+        name = f.read(256)
+        while (end := name.find(b"\0")) < 0 or len(name) < end + 9:
+            more = f.read(256)
+            if not more:
+                raise ValueError("image record without an end")
+            name += more
+        last = off + 64 + end + 9 + 24 * struct.unpack_from("<Q", name, end + 1)[0]
+        yield off, last
+        off = last
+
+
+def _image_batches(f: BinaryIO, n: int) -> Iterator[pa.RecordBatch]:
+    for a in range(0, n, 200):
+        heads, names, points = [], [], []
+        for _ in range(min(200, n - a)):
+            heads.append(struct.unpack("<i7di", f.read(64)))
+            name = bytearray()
+            while (c := f.read(1)) != b"\0":
+                name += c
+            names.append(name.decode("utf-8", "replace"))
+            points.append(np.frombuffer(f.read(24 * struct.unpack("<Q", f.read(8))[0]), np.dtype([("x", "<f8"), ("y", "<f8"), ("point_id", "<i8")])))
+        flat = np.concatenate(points)
+        entries = pa.StructArray.from_arrays([pa.array(flat[c]) for c in ("x", "y", "point_id")], ["x", "y", "point_id"])
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, points)]), pa.int32()), entries)
+        types = [pa.int32(), *[pa.float64()] * 7, pa.int32()]
+        yield pa.RecordBatch.from_arrays([*[pa.array([h[k] for h in heads], t) for k, t in enumerate(types)], pa.array(names), lists], [*IMAGE_NAMES, "points2d"])
+
+
+IMAGE_NAMES = ["image_id", "qw", "qx", "qy", "qz", "tx", "ty", "tz", "camera_id", "name"]
+
+
+def read_images_binary(spark: SparkSession, path: str, observations: bool = False, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """images.bin, large files in ranges of records; ``observations`` as in ``read_images``."""
+    schema = "image_id int, qw double, qx double, qy double, qz double, tx double, ty double, tz double, camera_id int, name string, points2d array<struct<x:double,y:double,point_id:bigint>>"
+    rows = ranged_records(spark, path, _image_index, _image_batches, schema, range_bytes)
+    return rows.select(scene_of(F.col("path")).alias("scene"), *IMAGE_NAMES, *(["points2d"] if observations else []))
+
+
+def _point_index(f: BinaryIO) -> Iterator[tuple[int, int]]:
+    """Places of point records: 51 bytes that end with a count, then 8 bytes per observation of the track."""
+    n, off = struct.unpack("<Q", f.read(8))[0], 8
+    data, at = b"", 8  # what was read, from place ``at`` on
+    for _ in range(n):
+        if off + 51 > at + len(data):
+            f.seek(off)
+            data, at = f.read(4 << 20), off
+            if len(data) < 51:
+                raise ValueError("point record without an end")
+        last = off + 51 + 8 * struct.unpack_from("<Q", data, off - at + 43)[0]
+        yield off, last
+        off = last
+
+
+def _point_batches(f: BinaryIO, n: int) -> Iterator[pa.RecordBatch]:
+    for a in range(0, n, 5000):
+        heads, tracks = [], []
+        for _ in range(min(5000, n - a)):
+            *head, k = struct.unpack("<Q3d3BdQ", f.read(51))
+            heads.append(head)
+            tracks.append(np.frombuffer(f.read(8 * k), np.int32).reshape(-1, 2))
+        flat = np.concatenate(tracks)
+        entries = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["image_id", "point2d_idx"])
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, tracks)]), pa.int32()), entries)
+        types = [pa.int64(), *[pa.float64()] * 3, *[pa.int16()] * 3, pa.float64()]
+        yield pa.RecordBatch.from_arrays([*[pa.array([h[k] for h in heads], t) for k, t in enumerate(types)], lists], [*POINT_NAMES, "track"])
+
+
+POINT_NAMES = ["point_id", "x", "y", "z", "r", "g", "b", "error"]
+
+
+def read_points_binary(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """points3D.bin with the columns of ``read_points``, large files in ranges of records."""
+    schema = "point_id long, x double, y double, z double, r short, g short, b short, error double, track array<struct<image_id:int,point2d_idx:int>>"
+    rows = ranged_records(spark, path, _point_index, _point_batches, schema, range_bytes)
+    return rows.select(scene_of(F.col("path")).alias("scene"), *POINT_NAMES, "track")
 
 
 def write_model_text(images: DataFrame, points: DataFrame, path: str) -> None:
