@@ -247,6 +247,62 @@ def percentile(p: float) -> Pick:
     return Pick(lambda n: (n - 1).cast("double") * F.lit(p))
 
 
+#: Steps of the grid that a sketch gives, and its accuracy: values at grid places are off by a sixteenth of a step at most.
+GRID, ACCURACY = 256, 4096
+
+
+def _sketches(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """One row per key: ``_n_i`` rows with the i-th value and ``_g_i``, its approximate quantiles on the grid (mergeable, one scan)."""
+    grid = [k / GRID for k in range(GRID + 1)]
+    aggs = []
+    for i, v in enumerate(values):
+        # NaN sorts last, like infinity
+        x = F.col(v).cast("double")
+        aggs += [F.count(v).alias(f"_n_{i}"), F.percentile_approx(F.when(F.isnan(x), F.lit(float("inf"))).otherwise(x), grid, ACCURACY).alias(f"_g_{i}")]
+    return cut(df.groupBy(*keys).agg(*aggs))
+
+
+def _at_ranks(df: DataFrame, keys: list[str], asks: list[tuple[str, Callable[[Column], Column], Callable[[Column], Column]]], rows_per_bucket: int | None = None) -> DataFrame:
+    """Exact values at ranks: (keys, p, _n, _lo, _hi, _v, _from, _to).
+
+    The p-th entry of ``asks`` names a value column and the lowest and highest wanted rank (0-based, as functions of the
+    number of values; with a single value column they may name it ``n_rows``). Rows are those values between which the ranks lie, each once with the ranks ``_from`` to ``_to``
+    (exclusive) that it holds. Two scans: a sketch per key brackets the ranks by two grid values that lie at least a step
+    outside, as far as its error can't reach; then values in the bracket are counted one by one and all below it at once.
+    Keys of up to ``ACCURACY`` rows have no bracket. A crowded bracket is split like any large key.
+    """
+    values = sorted({v for v, _, _ in asks})
+    told = _sketches(df, keys, values)
+    told = told.withColumn("n_rows", F.col("_n_0")) if len(values) == 1 else told
+    bounds, wanted = [], []
+    for p, (v, low, high) in enumerate(asks):
+        i = values.index(v)
+        n, g = F.col(f"_n_{i}"), F.col(f"_g_{i}")
+        lo, hi = low(n).cast("long"), high(n).cast("long")
+        step = n / F.lit(GRID)
+        below, above = F.floor(lo / step).cast("int") - 1, F.ceil((hi + 1) / step).cast("int") + 1
+        large = n > ACCURACY
+        upper = F.when(large & (above <= GRID), F.get(g, above))
+        bounds += [F.when(large & (below >= 0), F.get(g, below)).alias(f"_lo_{p}"), F.when(upper != float("inf"), upper).alias(f"_hi_{p}")]
+        wanted.append(F.struct(F.lit(p).alias("p"), n.alias("_n"), lo.alias("_lo"), hi.alias("_hi")))
+    brackets = told.select(*keys, *bounds)
+    ranks = told.select(*keys, F.explode(F.array(*wanted)).alias("_w")).select(*keys, "_w.*").filter("_n > 0")
+    entries = []
+    for p, (v, _, _) in enumerate(asks):
+        x = F.col(v).cast("double")
+        under = F.coalesce(x < F.col(f"_lo_{p}"), F.lit(False))
+        inside = x.isNotNull() & F.coalesce(x <= F.col(f"_hi_{p}"), F.col(f"_hi_{p}").isNull())
+        entries.append(F.when(inside, F.struct(F.lit(p).alias("p"), under.alias("_under"), F.when(~under, x).alias("_v"))))
+    rows = attach(df.select(*keys, *values), brackets, keys, materialise=False)
+    rows = rows.select(*keys, F.explode(F.array_compact(F.array(*entries))).alias("_e")).select(*keys, "_e.*")
+    counted = cut(rows.groupBy(*keys, "p", "_under", "_v").agg(F.count(F.lit(1)).alias("_k")))
+    under = counted.filter("_under").select(*keys, "p", F.col("_k").alias("_before"))
+    inside = running_sum(counted.filter("NOT _under").select(*keys, "p", "_v", "_k"), [*keys, "p"], ["_v"], "_k", "_to", rows_per_bucket)
+    placed = attach(attach(inside, under, [*keys, "p"], "left", materialise=False), ranks, [*keys, "p"], materialise=False)
+    placed = placed.withColumn("_to", F.col("_to") + F.coalesce("_before", F.lit(0))).withColumn("_from", F.col("_to") - F.col("_k"))
+    return placed.filter((F.col("_from") <= F.col("_hi")) & (F.col("_to") > F.col("_lo"))).select(*keys, "p", "_n", "_lo", "_hi", "_v", "_from", "_to")
+
+
 def order_stats(
     df: DataFrame,
     keys: Sequence[str],
@@ -255,66 +311,18 @@ def order_stats(
 ) -> DataFrame:
     """Exact order statistics per key; ``picks`` maps the output name to (value column, statistic). Adds ``n_rows``.
 
-    Values are counted per ordered bucket with map-side combine; only the buckets that hold a wanted rank are shuffled,
-    with equal values merged first.
+    Two scans, however many statistics: see ``_at_ranks``.
     """
     keys = list(keys)
-    values = sorted({v for v, _ in picks.values()})
-    long = df.select(
-        *keys,
-        F.explode(
-            F.array(*[F.struct(F.lit(v).alias("_m"), F.col(v).cast("double").alias("_v")) for v in values])
-        ).alias("_e"),
-    ).select(*keys, "_e._m", "_e._v").filter(F.col("_v").isNotNull())
-    mk = [*keys, "_m"]
-    b = with_buckets(long, mk, ["_v"], rows_per_bucket)
-    sizes = b.df.groupBy(*mk, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    wall = Window.partitionBy(*mk)
-    sizes = cut(
-        sizes.select(
-            *mk,
-            "_b",
-            "_c",
-            F.coalesce(F.sum("_c").over(wall.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(
-                "_off"
-            ),
-            F.sum("_c").over(wall).alias("_n"),
-        )
-    )
-    n = F.col("_n")
-    wanted = []
-    for name, (v, pick) in picks.items():
-        r = pick.rank(n)
-        wanted.append(
-            F.struct(F.lit(name).alias("p"), F.lit(v).alias("m"), F.floor(r).alias("lo"), F.ceil(r).alias("hi"),
-                     (r - F.floor(r)).alias("f"))
-        )
-    asks = (
-        sizes.withColumn("_p", F.explode(F.array(*wanted)))
-        .filter(F.col("_p.m") == F.col("_m"))
-        .select(*mk, "_b", "_off", "_c", "_n", "_p.p", "_p.f",
-                F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("_p.lo").alias("r")),
-                                  F.struct(F.lit(1).alias("side"), F.col("_p.hi").alias("r")))).alias("_s"))
-        .select(*mk, "_b", "p", "f", "_n", "_s.side", (F.col("_s.r") - F.col("_off")).alias("_r"), "_c")
-        .filter((F.col("_r") >= 0) & (F.col("_r") < F.col("_c")))
-        .drop("_c")
-    )
-    asks = cut(asks)
-    rows = b.df
-    if b.split:
-        rows = attach(rows, asks.select(*mk, "_b").distinct(), [*mk, "_b"], "left_semi")
-    merged = rows.groupBy(*mk, "_b", "_v").agg(F.count(F.lit(1)).alias("_k"))
-    w = Window.partitionBy(*mk, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    merged = merged.withColumn("_hi", F.sum("_k").over(w))
-    hit = attach(merged, asks, [*mk, "_b"], materialise=False).filter(
-        (F.col("_r") >= F.col("_hi") - F.col("_k")) & (F.col("_r") < F.col("_hi"))
-    )
+    asks = [(v, (lambda n, r=pick.rank: F.floor(r(n))), (lambda n, r=pick.rank: F.ceil(r(n)))) for v, pick in picks.values()]
+    hit = _at_ranks(df, keys, asks, rows_per_bucket)
     aggs = [F.max("_n").alias("n_rows")]
-    for name in picks:
-        lo = F.max(F.when((F.col("p") == name) & (F.col("side") == 0), F.col("_v")))
-        hi = F.max(F.when((F.col("p") == name) & (F.col("side") == 1), F.col("_v")))
-        f = F.max(F.when(F.col("p") == name, F.col("f")))
-        aggs.append((lo + (hi - lo) * f).alias(name))
+    for p, (name, (_, pick)) in enumerate(picks.items()):
+        own = F.col("p") == p
+        lo = F.max(F.when(own & (F.col("_from") <= F.col("_lo")) & (F.col("_lo") < F.col("_to")), F.col("_v")))
+        hi = F.max(F.when(own & (F.col("_from") <= F.col("_hi")) & (F.col("_hi") < F.col("_to")), F.col("_v")))
+        r = pick.rank(F.col("_n"))
+        aggs.append((lo + (hi - lo) * F.max(F.when(own, r - F.floor(r)))).alias(name))
     return hit.groupBy(*keys).agg(*aggs)
 
 
@@ -328,34 +336,18 @@ def take_smallest(
 ) -> DataFrame:
     """Keep the ``k(n)`` smallest rows per key by (value, tie). ``k`` may use ``n_rows``, the rows of the key.
 
-    The cut-off comes from ``order_stats``; rows pass it by a narrow filter, only rows equal to it are ranked.
+    The cut-off comes from ``_at_ranks`` (two scans); in the third, rows pass it by a narrow filter, and only rows equal to
+    it are ranked.
     """
     keys = list(keys)
-    n = F.col("n_rows")
-    want = F.greatest(F.lit(0), F.least(k, n)).cast("long")
-    sizes = cut(df.groupBy(*keys).agg(F.count(value).alias("n_rows")).withColumn("_k", want))
-    lined = attach(df.select(*keys, value), sizes.filter("_k > 0").select(*keys, "_k"), keys, materialise=False)
-    # one integer rank per key: the k-th smallest, found by passing k through a constant column of the key
-    b = with_buckets(lined, keys, [value], rows_per_bucket)
-    counts = b.df.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"), F.first("_k").alias("_k"))
-    off = _before(counts, keys, "_c", "_off")
-    where = cut(
-        counts.join(off, [*keys, "_b"])
-        .filter((F.col("_k") > F.col("_off")) & (F.col("_k") <= F.col("_off") + F.col("_c")))
-        .select(*keys, "_b", (F.col("_k") - F.col("_off")).alias("_r"))
-    )
-    merged = (
-        attach(b.df.drop("_k"), where, [*keys, "_b"], materialise=False)
-        .groupBy(*keys, "_b", "_r", value)
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    w = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    cutoff = (
-        merged.withColumn("_hi", F.sum("_c").over(w))
-        .filter((F.col("_r") > F.col("_hi") - F.col("_c")) & (F.col("_r") <= F.col("_hi")))
-        .select(*keys, F.col(value).alias("_cut"), (F.col("_r") - (F.col("_hi") - F.col("_c"))).alias("_ties"))
-    )
+
+    def last(n: Column) -> Column:
+        return F.greatest(F.lit(-1), F.least(k, n) - 1)
+
+    hit = _at_ranks(df, keys, [(value, last, last)], rows_per_bucket)
+    cutoff = hit.select(*keys, F.col("_v").alias("_cut"), (F.col("_lo") + 1 - F.col("_from")).alias("_ties"))
     marked = attach(df, cutoff, keys)
-    below = marked.filter(F.col(value) < F.col("_cut")).select(*df.columns)
-    equal = rank_rows(marked.filter(F.col(value) == F.col("_cut")), keys, [tie], "_rn", rows_per_bucket)
+    x = F.col(value).cast("double")
+    below = marked.filter(x < F.col("_cut")).select(*df.columns)
+    equal = rank_rows(marked.filter(x == F.col("_cut")), keys, [value, tie], "_rn", rows_per_bucket)
     return below.unionByName(equal.filter(F.col("_rn") <= F.col("_ties")).select(*df.columns))
