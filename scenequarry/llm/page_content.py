@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from scenequarry.llm.shipping import ship
 
-TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+NAME_END, SPECIAL, OPENS = re.compile(r"[\s/>]"), re.compile("[>\"']"), re.compile("<[a-zA-Z/!]")
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 # Fixed values of the markup language.
@@ -60,11 +60,73 @@ def attribute_tokens(text: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(t for t in out if len(t) > 1))
 
 
+class Tags:
+    """Tags of a page from left to right, each place looked at a fixed number of times however broken the page is.
+
+    A tag ends at the first ``>`` outside quotes. What follows a quote doesn't depend on where the tag began, so it is
+    worked out once per quote; a ``<`` without such an end is text.
+    """
+
+    def __init__(self, html: str) -> None:
+        self.html, self.last = html, html.rfind(">")
+        self.quotes: dict[int, int] = {}
+        self.name = self.special = (0, -1)  # a range of places, and the first name end or special sign after all of them
+
+    def _next(self, kept: tuple[int, int], pattern: re.Pattern, at: int) -> tuple[int, int]:
+        if kept[0] <= at <= kept[1]:
+            return kept
+        m = pattern.search(self.html, at)
+        return at, m.start() if m else len(self.html)
+
+    def end(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag whose name ended at ``at``; -1 if there is none."""
+        html, path, found = self.html, [], -1
+        while True:
+            self.special = self._next(self.special, SPECIAL, at)
+            q = self.special[1]
+            if q == len(html):
+                break
+            if html[q] == ">":
+                found = q
+                break
+            if q in self.quotes:
+                found = self.quotes[q]
+                break
+            path.append(q)
+            at = html.find(html[q], q + 1) + 1
+            if not at:
+                break
+        self.quotes.update(dict.fromkeys(path, found))
+        return found
+
+    def find(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, "/" or "", name, rest) of the next tag; comments and declarations have no name."""
+        html = self.html
+        while (i := html.find("<", at)) >= 0:
+            if i > self.last:
+                i = html.find("<!--", i)
+                return (i, len(html), "", "", "") if i >= 0 else None
+            if html.startswith("<!--", i):
+                e = html.find("-->", i + 4)
+                return i, e + 3 if e >= 0 else len(html), "", "", ""
+            if html[i + 1] in "!?":
+                return i, html.find(">", i) + 1, "", "", ""
+            p = i + 1 + (html[i + 1] == "/")
+            if "a" <= html[p : p + 1].lower() <= "z":
+                self.name = self._next(self.name, NAME_END, p)
+                e = self.end(self.name[1])
+                if e >= 0:
+                    return i, e + 1, html[i + 1 : p], html[p : self.name[1]], html[self.name[1] : e]
+            at = i + 1
+        return None
+
+
 def parse(html: str) -> Page:
     """Elements and blocks of a whole page, however broken: unclosed elements end with their parent, stray ends are passed over."""
     page = Page()
     stack, names, silent = [0], ["#root"], 0
-    at = 0
+    opened = Counter(names)
+    tags, at = Tags(html), 0
 
     def text(piece: str) -> None:
         if silent or not piece or piece.isspace():
@@ -83,22 +145,24 @@ def parse(html: str) -> Page:
     def pop() -> None:
         nonlocal silent
         stack.pop()
-        silent -= names.pop() in SILENT
+        name = names.pop()
+        opened[name] -= 1
+        silent -= name in SILENT
 
     while True:
-        m = TAG.search(html, at)
-        if m is None:
-            rest = html[at:]
-            text(rest if "<" not in rest else re.sub(r"<[a-zA-Z/!][^>]*$", "", rest))
+        tag = tags.find(at)
+        if tag is None:
+            cut_off = OPENS.search(html, max(at, tags.last + 1))
+            text(html[at : cut_off.start() if cut_off else len(html)])
             return page
-        text(html[at : m.start()])
-        at = m.end()
-        name = m.group(2)
-        if name is None:
+        start, end, slash, name, rest = tag
+        text(html[at:start])
+        at = end
+        if not name:
             continue
         name = name.lower()
-        if m.group(1):
-            if name in names:
+        if slash:
+            if opened[name]:
                 if name not in INLINE:
                     block()
                 elif not set(names[len(names) - 1 - names[::-1].index(name) :]) <= INLINE:
@@ -114,13 +178,13 @@ def parse(html: str) -> Page:
             continue
         if name not in INLINE:
             block()
-            if "p" in names and name not in VOID:
+            if opened["p"] and name not in VOID:
                 k = len(names) - 1 - names[::-1].index("p")
                 if not set(names[k + 1 :]) & SCOPES:
                     while len(names) > k:
                         pop()
-            for k in range(len(names) - 1, 0, -1):
-                if names[k] in CLOSES.get(name, ()):
+            for k in range(len(names) - 1 if name in CLOSES else 0, 0, -1):
+                if names[k] in CLOSES[name]:
                     while len(names) > k:
                         pop()
                     break
@@ -128,11 +192,12 @@ def parse(html: str) -> Page:
                     break
         if name in VOID:
             continue
-        node = page.add(stack[-1], name, attribute_tokens(m.group(3)) if m.group(3) else ())
-        if m.group(3).endswith("/") and name in SILENT:
+        node = page.add(stack[-1], name, attribute_tokens(rest) if rest else ())
+        if rest.endswith("/") and name in SILENT:
             continue
         stack.append(node)
         names.append(name)
+        opened[name] += 1
         silent += name in SILENT
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(html, at)

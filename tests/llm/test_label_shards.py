@@ -33,3 +33,31 @@ def test_repeats_nulls_and_few_rows(spark):
         check(got, 8)
         assert Counter((r.asset_id, r.content) for r in got) == Counter(rows)
     assert S.place_assets(spark.createDataFrame([], schema), "content", ["asset_id"]).collect() == []
+
+
+def test_columns_of_any_name(spark):
+    rows = [(i, i % 7, "x", 1.0, i, i) for i in range(50)]
+    df = spark.createDataFrame(rows, "n long, tie long, shard string, _place double, k long, _own long")
+    got = S.place_assets(df, "tie", ["n"], shards=4).collect()
+    assert sorted(r.n for r in got) == list(range(50)) and all(r.tie == r.n % 7 and r.k == r.n and r["_own"] == r.n for r in got)
+    sizes = [sum(r.shard == s for r in got) for s in range(4)]
+    assert max(sizes) - min(sizes) <= 1
+
+
+def test_cut_links_fall_round_by_round(spark):
+    """No round cuts more links than the last; on small tables no placement cuts fewer than the best of all even ones."""
+    import itertools
+    import random
+
+    r = random.Random(3)
+    for n, of in ((8, 3), (40, 12)):
+        ties = [r.randrange(of) for _ in range(n)]
+        df = spark.createDataFrame(list(enumerate(ties)), "n long, tie long")
+
+        def cost(shard):
+            return sum(ties[i] == ties[j] and shard[i] != shard[j] for i in range(n) for j in range(i))
+
+        found = [cost({x.n: x.shard for x in S.place_assets(df, "tie", ["n"], shards=2, rounds=k).collect()}) for k in (0, 1, 2, 8)]
+        assert found == sorted(found, reverse=True) and found[-1] < found[0]
+        if n == 8:
+            assert found[-1] >= min(cost(s) for s in itertools.product((0, 1), repeat=n) if sum(s) == n // 2)

@@ -60,3 +60,23 @@ def test_marginals_equal_all_labellings(spark, rng):
         total += np.exp(s)
         ones += np.exp(s) * np.array(y)
     assert np.allclose(got, ones / total)
+
+
+def test_broken_pages_cost_no_more_than_their_length():
+    import time
+
+    n = 1_000_000
+    for html in ("<" + "a" * n, "<a" * (n // 2), "<a" * (n // 2) + ' "', "<a " * (n // 3) + '">' , "<a '\"" * (n // 5) + ">", '<a b="' * (n // 6), "<!" * (n // 2), "<!--" * (n // 4), "<div>" * (n // 5), "</b>" * (n // 4) + "<p>x", "<a \"'" * (n // 5) + "'>"):
+        started = time.time()
+        C.parse(html)
+        assert time.time() - started < 10, html[:12]
+
+
+def test_tags_end_outside_quotes():
+    html = """a < b <p title='x > "y' id=k>one</p><!-- <b> --><i a="never closed>two <b>three</b> <?php x ?> <3 <em/>four <u"""
+    found, at = [], 0
+    tags = C.Tags(html)
+    while t := tags.find(at):
+        found.append((t[2] + t[3], t[4]))
+        at = t[1]
+    assert found == [("p", """ title='x > "y' id=k"""), ("/p", ""), ("", ""), ("b", ""), ("/b", ""), ("", ""), ("em", "/")]
