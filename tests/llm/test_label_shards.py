@@ -58,6 +58,8 @@ def test_cut_links_fall_round_by_round(spark):
             return sum(ties[i] == ties[j] and shard[i] != shard[j] for i in range(n) for j in range(i))
 
         found = [cost({x.n: x.shard for x in S.place_assets(df, "tie", ["n"], shards=2, rounds=k).collect()}) for k in (0, 1, 2, 8)]
-        assert found == sorted(found, reverse=True) and found[-1] < found[0]
-        if n == 8:
+        assert found == sorted(found, reverse=True)
+        if n == 40:
+            assert found[-1] < found[0]
+        else:  # so few rows may begin where no single move or swap is better, though another placement is
             assert found[-1] >= min(cost(s) for s in itertools.product((0, 1), repeat=n) if sum(s) == n // 2)
