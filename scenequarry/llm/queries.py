@@ -152,11 +152,22 @@ def _canonical_sql(url: str) -> str:
     for _ in range(2):
         query = f"regexp_replace({query}, '([?&])utm_[^&]*(&|$)', '\\1', 'g')"
     host = f"CASE {head} WHEN 'http' THEN regexp_replace({_host_sql(url)}, ':80$', '') WHEN 'https' THEN regexp_replace({_host_sql(url)}, ':443$', '') ELSE {_host_sql(url)} END"
-    return f"CASE WHEN contains({url}, '://') THEN {head} || '://' || {host} || {_path_sql(url)} || regexp_replace({query}, '[?&]+$', '') ELSE {url} END"
+    return f"CASE WHEN contains({url}, '://') THEN {head} || '://' || {host} || {_straight_sql(_path_sql(url))} || regexp_replace({query}, '[?&]+$', '') ELSE {url} END"
+
+
+def _straight_sql(path: str) -> str:
+    ended = f"CASE WHEN regexp_matches({path}, '/\\.\\.?$', 's') THEN {path} || '/' ELSE {path} END"
+    kept = f"list_reduce(list_transform(string_split({ended}, '/'), lambda z: [z]), lambda done, z: CASE z[1] WHEN '..' THEN done[1 : greatest(len(done) - 1, 1)] WHEN '.' THEN done ELSE list_concat(done, z) END)"
+    return f"CASE WHEN regexp_matches({path}, '/\\.\\.?(/|$)', 's') THEN array_to_string({kept}, '/') ELSE {path} END"
 
 
 def _full_sql(link: str) -> str:
-    return f"CASE WHEN contains({link}, '://') THEN {link} WHEN starts_with({link}, '//') THEN regexp_extract(url, '^(.*?:)//', 1, 's') || {link} WHEN starts_with({link}, '/') THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1, 's') || {link} END"
+    for pattern, sign in U.REFERENCES:
+        link = f"regexp_replace({link}, '{pattern}', '{sign.replace(chr(39), chr(39) * 2)}', 'g')"
+    scheme, origin, path = "regexp_extract(url, '^(.*?:)//', 1, 's')", "regexp_extract(url, '^(.*?://[^/?#]*)', 1, 's')", _path_sql("url")
+    return f"""(SELECT CASE WHEN regexp_matches(z, '^[A-Za-z][A-Za-z0-9+.\\-]*://') THEN z WHEN regexp_matches(z, '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:|#|$)') OR NOT contains(url, '://') THEN NULL
+WHEN starts_with(z, '//') THEN {scheme} || z WHEN starts_with(z, '/') THEN {origin} || z WHEN starts_with(z, '?') THEN {origin} || {path} || z
+ELSE {origin} || CASE {path} WHEN '' THEN '/' ELSE regexp_extract({path}, '^(.*/)', 1, 's') END || z END FROM (SELECT {link} AS z))"""
 
 
 _TAGS = {
@@ -167,7 +178,7 @@ _LINKS = ", ".join(
     f"""coalesce(nullif(regexp_extract(h, '<{tag}\\b[^>]*\\b{mark}[^>]*\\b{name}\\s*=\\s*["'']?([^"''\\s>]+)', 1, 'is'), ''), regexp_extract(h, '<{tag}\\b[^>]*\\b{name}\\s*=\\s*["'']?([^"''\\s>]+)[^>]*\\b{mark}', 1, 'is')) AS {tag}"""
     for tag, (mark, name) in _TAGS.items()
 )
-ORACLES["op3_url_filter"] = f"""WITH RECURSIVE p AS (SELECT page_id, url, coalesce(html, '') AS h, coalesce({_host_sql("url")}, '') AS host, coalesce({_path_sql("url")}, '') AS path FROM pages),
+ORACLES["op3_url_filter"] = f"""WITH RECURSIVE p AS (SELECT page_id, url, regexp_replace(coalesce(html, ''), '{U.UNSEEN}', ' ', 'g') AS h, coalesce({_host_sql("url")}, '') AS host, coalesce({_path_sql("url")}, '') AS path FROM pages),
 x AS (SELECT url, {_LINKS} FROM p WHERE url IS NOT NULL),
 y AS (SELECT url, url AS target FROM x UNION ALL SELECT url, {_full_sql("link")} FROM x UNION ALL SELECT url, {_full_sql("meta")} FROM x),
 e AS (SELECT DISTINCT url AS a, {_canonical_sql("target")} AS b FROM y WHERE target IS NOT NULL AND target <> ''),

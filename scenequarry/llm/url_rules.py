@@ -11,6 +11,9 @@ from scenequarry.llm.components import connected
 from scenequarry.session import cut
 
 AZ = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: Parts of a page that hold no links of its own, and character references of addresses in the order of their decoding.
+UNSEEN = r"(?is)<!--.*?(?:-->|\z)|<(?:script|style|template|textarea)\b.*?(?:</(?:script|style|template|textarea)\s*>|\z)"
+REFERENCES = ((r"(?i)&quot;|&#0*34;|&#x0*22;", '"'), (r"(?i)&apos;|&#0*39;|&#x0*27;", "'"), (r"(?i)&sol;|&#0*47;|&#x0*2f;", "/"), (r"(?i)&amp;|&#0*38;|&#x0*26;", "&"))
 
 
 def url_host(url: Column) -> Column:
@@ -23,32 +26,51 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def straight(path: Column) -> Column:
+    """``path`` without the segments ``.`` and ``..``; what would lead above the root stays at the root."""
+    ended = F.when(path.rlike(r"(?s)/\.\.?$"), F.concat(path, F.lit("/"))).otherwise(path)
+    last = lambda done: F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))
+    kept = F.aggregate(F.split(ended, "/"), F.array().cast("array<string>"), lambda done, s: F.when(s == "..", last(done)).when(s == ".", done).otherwise(F.concat(done, F.array(s))))
+    return F.when(path.rlike(r"(?s)/\.\.?(?:/|$)"), F.array_join(kept, "/")).otherwise(path)
+
+
 def canonical(url: Column) -> Column:
-    """Address that stands for ``url``: host in lower case, no fragment, no ``utm_`` parameters, no default port; null stays null."""
+    """Address that stands for ``url``: host in lower case, no ``.`` and ``..`` segments, no fragment, no ``utm_`` parameters, no
+    default port; null stays null.
+    """
     head = F.lower(F.regexp_extract(url, r"(?s)^(.*?)://", 1))
     port = F.when(head == "http", r":80$").when(head == "https", r":443$").otherwise(r"(?!)")
     query = F.regexp_replace(F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1), r"(?<=[?&])utm_[^&]*(&|$)", "")
-    return F.when(F.instr(url, "://") > 0, F.concat(head, F.lit("://"), F.regexp_replace(url_host(url), port, ""), url_path(url), F.regexp_replace(query, r"[?&]+$", ""))).otherwise(url)
+    return F.when(F.instr(url, "://") > 0, F.concat(head, F.lit("://"), F.regexp_replace(url_host(url), port, ""), straight(url_path(url)), F.regexp_replace(query, r"[?&]+$", ""))).otherwise(url)
 
 
 def alias_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(``url``, ``target``, ``kind``): where an address leads.
 
     ``self``: the address without what doesn't change the page, see ``canonical``; ``canonical``: the page's
-    ``<link rel="canonical">``; ``redirect``: its ``<meta http-equiv="refresh">``. Targets that name no host are resolved
-    against the page's own host. Null addresses have no links.
+    ``<link rel="canonical">``; ``redirect``: its ``<meta http-equiv="refresh">``. Comments, scripts and styles hold no links.
+    Character references of a target are decoded. Targets without scheme and host are resolved against the page's address:
+    ``//host``, ``/path``, ``?query`` and paths from the page's folder, with ``.`` and ``..``. Null addresses have no links, nor
+    have pages without ``://`` in theirs where the target names no host, nor targets of other kinds (``mailto:``).
     """
     u, h = F.col(url), F.coalesce(F.col(html), F.lit(""))
-    link = F.regexp_extract(h, r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    meta = F.regexp_extract(h, r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    origin = F.regexp_extract(u, r"(?s)^(.*?://[^/?#]*)", 1)
+    seen = F.when(h.rlike("(?i)canonical|refresh"), F.regexp_replace(h, UNSEEN, " ")).otherwise(F.lit(""))
+    link = F.regexp_extract("_seen", r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    meta = F.regexp_extract("_seen", r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    scheme, origin = F.regexp_extract("url", r"(?s)^(.*?:)//", 1), F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*)", 1)
+    path = url_path(F.col("url"))
+    folder = F.when(path == "", "/").otherwise(F.regexp_extract(path, r"(?s)^(.*/)", 1))
 
     def full(x: Column) -> Column:
-        return F.when(F.instr(x, "://") > 0, x).when(x.startswith("//"), F.concat(F.regexp_extract(u, r"(?s)^(.*?:)//", 1), x)).when(x.startswith("/"), F.concat(origin, x))
+        for pattern, sign in REFERENCES:
+            x = F.regexp_replace(x, pattern, sign)
+        named = F.when(x.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), x).when(x.rlike(r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:|#|$)"), None).when(F.instr("url", "://") == 0, None)
+        return named.when(x.startswith("//"), F.concat(scheme, x)).when(x.startswith("/"), F.concat(origin, x)).when(x.startswith("?"), F.concat(origin, path, x)).otherwise(F.concat(origin, folder, x))
 
-    found = [F.struct(F.lit("self").alias("kind"), canonical(u).alias("target"))]
+    found = [F.struct(F.lit("self").alias("kind"), canonical(F.col("url")).alias("target"))]
     found += [F.struct(F.lit(k).alias("kind"), canonical(full(x)).alias("target")) for k, x in (("canonical", link), ("redirect", meta))]
-    return pages.filter(u.isNotNull()).select(u.alias("url"), F.inline(F.array(*found))).filter("target IS NOT NULL AND target <> ''").select("url", "target", "kind")
+    rows = pages.filter(u.isNotNull()).select(u.alias("url"), seen.alias("_seen"))
+    return rows.select("url", F.inline(F.array(*found))).filter("target IS NOT NULL AND target <> ''").select("url", "target", "kind")
 
 
 def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str, bool]]) -> tuple[Column, Column]:

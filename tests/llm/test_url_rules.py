@@ -45,8 +45,30 @@ def test_aliases_take_block_decisions(spark):
     assert empty.collect() == [] and "verdict" in empty.columns
 
 
+LINKED = [
+    ("http://a.com/x/y/page.html?k=1", '<link rel="canonical" href="../b">', "http://a.com/x/b"),
+    ("http://a.com/x/page", '<link rel="canonical" href="story.html">', "http://a.com/x/story.html"),
+    ("http://a.com/x/page?q=2#f", '<meta http-equiv="refresh" content="0; url=?p=1">', "http://a.com/x/page?p=1"),
+    ("http://a.com", '<link rel=canonical href=./z/../../w/.>', "http://a.com/w/"),
+    ("http://a.com/1", '<link rel="canonical" href="http://b.com/p?x=1&amp;y=2">', "http://b.com/p?x=1&y=2"),
+    ("http://a.com/2", '<link rel="canonical" href="&#x2F;p?u=http://c.com/">', "http://a.com/p?u=http://c.com/"),
+    ("http://a.com/3", '<!-- <link rel="canonical" href="http://bad.net/"> --><link rel="canonical" href="/seen">', "http://a.com/seen"),
+    ("http://a.com/4", '<!-- <link rel="canonical" href="http://bad.net/">', None),
+    ("http://a.com/5", """<script>var t = '<link rel="canonical" href="http://bad.net/">'</script>""", None),
+    ("http://a.com/6", '<link rel="canonical" href="mailto:x@bad.net">', None),
+    ("no address", '<link rel="canonical" href="/x">', None),
+    ("https://a.com/7", '<link rel="canonical" href="//bad.net/../7">', "https://bad.net/7"),
+]
+
+
+def test_targets_of_links(spark):
+    df = spark.createDataFrame([(u, h) for u, h, _ in LINKED], "url string, html string")
+    got = {r.url: r.target for r in U.alias_links(df).filter("kind <> 'self'").collect()}
+    assert got == {u: t for u, _, t in LINKED if t}
+
+
 def test_canonical(spark):
-    pairs = {"HTTP://A.b:80/x?utm_a=1&q=2#f": "http://a.b/x?q=2", "https://a.b/x?q=1&utm_b=2": "https://a.b/x?q=1", "https://a.b?utm_c": "https://a.b", "plain": "plain", "https://a:443/": "https://a/"}
+    pairs = {"http://a.b/x/../../c/./d/..": "http://a.b/c/", "http://a.b/x..y/...": "http://a.b/x..y/...", "HTTP://A.b:80/x?utm_a=1&q=2#f": "http://a.b/x?q=2", "https://a.b/x?q=1&utm_b=2": "https://a.b/x?q=1", "https://a.b?utm_c": "https://a.b", "plain": "plain", "https://a:443/": "https://a/"}
     got = spark.createDataFrame([(u,) for u in pairs], "url string").select("url", U.canonical(F.col("url")).alias("c")).collect()
     assert {r.url: r.c for r in got} == pairs
 
@@ -57,6 +79,7 @@ def test_query_equals_its_sql(spark, tmp_path):
     from scenequarry.llm import queries as Q
 
     pages = [(i, u, h) for i, (u, h) in enumerate([("http://x.com/1", ""), ("http://y.com/2", '<LINK href="http://bad.net/9" rel=canonical>'), ("http://z.com/3", "<meta content='0; url=http://y.com/2' http-equiv='refresh'>"), ("http://v.com/5", '<link rel="canonical" href="//bad.net/7">'), ("http://example.net/en/6", '<link rel="canonical" href="http://v.com/5">'), (None, None)])]
+    pages += [(200 + i, u, h) for i, (u, h, _) in enumerate(LINKED)] + [(300, "http://bad.net/c/../7", None), (301, "http://q.com/a/b", '<link rel="canonical" href="../../bad">'), (302, "http://q.com/bad", '<link rel="canonical" href="http://bad.net/?a=1&amp;b=2">')]
     pages += [(100 + i, u, "<p>x</p>") for i, u in enumerate(URLS)] + [(1, "http://y.com/2#a", ""), (2, "https://y.com:443/2?utm_a=1&q=2", "")]
     spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
     got = sorted(map(str, (tuple(r) for r in Q.QUERIES["op3_url_filter"](spark, str(tmp_path)).collect())))
