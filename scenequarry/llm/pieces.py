@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import codecs
 import os
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -78,32 +80,74 @@ class PieceModel:
         m.unknown = next((i for i, p in enumerate(m.pieces) if p[2] == UNKNOWN), 0)
         return m
 
+    @property
+    def user(self) -> list[str]:
+        """User-defined pieces, longest first."""
+        return sorted((p for p, _, t in self.pieces if t == USER), key=lambda p: (-len(p), p))
+
+    def names(self) -> list[str]:
+        """Pieces by id; those that no text may reach (unknown, control, and of unigram models unused and bytes) get names out of its reach."""
+        hidden = (UNKNOWN, CONTROL, UNUSED, BYTE) if self.kind == UNIGRAM else (UNKNOWN, CONTROL)
+        return [f"\ufffe\uffff{i}\uffff\ufffe" if t in hidden else p for i, (p, _, t) in enumerate(self.pieces)]
+
+    def merges(self) -> list[tuple[str, str]]:
+        """Pairs that a merging model joins, first ones first. Unused pieces are steps on the way, see ``halves``."""
+        at = {p: i for i, (p, _, t) in enumerate(self.pieces) if t in (NORMAL, UNUSED)}
+        pairs = [(-self.pieces[i][1], i, at[p[:k]], at[p[k:]], (p[:k], p[k:])) for p, i in at.items() for k in range(1, len(p)) if p[:k] in at and p[k:] in at]
+        return [x[-1] for x in sorted(pairs)]
+
+    def halves(self) -> dict[int, list[int]]:
+        """What unused pieces of a merging model are put out as: the pieces that they were joined from, taken apart as far as need be."""
+        at = {p: i for i, (p, _, _) in enumerate(self.pieces)}
+        unused = [(p, i) for i, (p, _, t) in enumerate(self.pieces) if t == UNUSED and len(p) > 1]
+        rank = {pair: k for k, pair in enumerate(self.merges())} if unused else {}
+        out = {}
+        for p, i in sorted(unused, key=lambda x: len(x[0])):
+            parts = list(p)
+            while len(parts) > 2:
+                best = min((rank.get(pair, len(rank)), k) for k, pair in enumerate(zip(parts, parts[1:], strict=False)))
+                if best[0] == len(rank):
+                    break
+                parts[best[1] : best[1] + 2] = ["".join(parts[best[1] : best[1] + 2])]
+            if len(parts) == 2 and all(x in at for x in parts):
+                out[i] = [y for x in parts for y in out.get(at[x], [at[x]])]
+        return out
+
     def tokenizer(self):
-        """The tokenizers library's form: normaliser, metaspace marker, scores and byte fallback."""
-        from tokenizers import Regex, Tokenizer, decoders, models, normalizers
+        """The tokenizers library's form for normal text: scores or merges, and user-defined pieces."""
+        from tokenizers import AddedToken, Tokenizer, models
 
-        names = [p[0] for p in self.pieces]
+        names = self.names()
         if self.kind == UNIGRAM:
-            model = models.Unigram([(p, s) for p, s, _ in self.pieces], self.unknown, self.byte_fallback)
-        elif self.kind == BPE:
-            at = {p: i for i, p in enumerate(names)}
-            usable = {p for p, _, t in self.pieces if t in (NORMAL, USER)}
-            pairs = [(-s, i, at[p[:k]], at[p[k:]], (p[:k], p[k:])) for i, (p, s, t) in enumerate(self.pieces) if t in (NORMAL, USER) for k in range(1, len(p)) if p[:k] in usable and p[k:] in usable]
-            model = models.BPE(at, [x[-1] for x in sorted(pairs)], unk_token=names[self.unknown], fuse_unk=True, byte_fallback=self.byte_fallback)
-        else:
+            normal = [s for _, s, t in self.pieces if t == NORMAL]
+            # a user-defined piece scores as the best piece for each of its bytes
+            score = lambda p, s, t: s if t == NORMAL else len(p.encode()) * max(normal, default=0.0) - 0.1 if t == USER else max(normal, default=0.0)
+            return Tokenizer(models.Unigram([(n, score(*x)) for n, x in zip(names, self.pieces, strict=True)], self.unknown, False))
+        if self.kind != BPE:
             raise ValueError(f"model type {self.kind} is not supported")
-        out = Tokenizer(model)
-        steps = [normalizers.Precompiled(self.charsmap)] if self.charsmap else []
+        out = Tokenizer(models.BPE({n: i for i, n in enumerate(names)}, self.merges(), unk_token=names[self.unknown], fuse_unk=True, byte_fallback=self.byte_fallback))
+        out.add_tokens([AddedToken(p, normalized=False) for p in self.user])
+        return out
+
+    def normalizer(self):
+        """Normaliser and metaspace marker of the model file, after the character table."""
+        from tokenizers import Regex, normalizers
+
+        steps = []
         if self.squeeze:
             steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
         if self.dummy_prefix:
             steps.append(normalizers.Prepend(MARK if self.escape else " "))
         if self.escape:
             steps.append(normalizers.Replace(" ", MARK))
-        out.normalizer = normalizers.Sequence(steps)
-        strip = [decoders.Strip(" ", 1, 0)] if self.dummy_prefix else []
-        out.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *strip])
-        return out
+        return normalizers.Sequence(steps)
+
+
+def _one_byte(error: UnicodeError) -> tuple[str, int]:
+    return "\ufffd", error.start + 1
+
+
+codecs.register_error("scenequarry.one_byte", _one_byte)
 
 
 class PieceCoder:
@@ -114,46 +158,85 @@ class PieceCoder:
             self.model = PieceModel.parse(f.read())
 
     @cached_property
-    def whole(self):
+    def bare(self):
+        """The pieces for texts in normal form."""
         return self.model.tokenizer()
 
     @cached_property
-    def bare(self):
-        """The same pieces for texts that are in normal form already."""
-        from tokenizers import Tokenizer
+    def rules(self):
+        return self.model.normalizer()
+
+    @cached_property
+    def chars(self):
+        """The character table as a normaliser, and what it must leave alone: the user-defined pieces."""
+        from tokenizers import normalizers
+
+        user = self.model.user
+        return normalizers.Precompiled(self.model.charsmap), re.compile(f"({'|'.join(map(re.escape, user))})" if user else "((?!))")
 
-        return Tokenizer(self.whole.model)
+    @cached_property
+    def halves(self) -> dict[int, list[int]]:
+        return self.model.halves() if self.model.kind == BPE else {}
+
+    @cached_property
+    def bytes_at(self) -> list[int]:
+        """Ids of the 256 byte pieces where unknown characters of a unigram model become those, else none."""
+        m = self.model
+        at = {p: i for i, (p, _, t) in enumerate(m.pieces) if t == BYTE}
+        return [at[f"<0x{b:02X}>"] for b in range(256)] if m.kind == UNIGRAM and m.byte_fallback and len(at) == 256 else []
 
     @cached_property
     def spelt(self) -> list[bytes]:
-        """UTF-8 text of each piece."""
-        return [bytes([int(p[3:5], 16)]) if t == BYTE else p.replace(MARK, " ").encode() for p, _, t in self.model.pieces]
+        """UTF-8 text of each piece; control pieces have none, the unknown piece has the library's sign."""
+        signs = {CONTROL: b"", UNKNOWN: " ⁇ ".encode()}
+        return [signs[t] if t in signs else bytes([int(p[3:5], 16)]) if t == BYTE else p.replace(MARK, " ").encode() for p, _, t in self.model.pieces]
 
     def normal(self, text: str) -> str:
         """What the normaliser makes of a text; without a character table and squeezing that is the marker for each space."""
         m = self.model
+        if m.charsmap:
+            table, user = self.chars
+            text = "".join(x if k % 2 else table.normalize_str(x) for k, x in enumerate(user.split(text)))
         if m.charsmap or m.squeeze:
-            return self.whole.normalizer.normalize_str(text)
+            return self.rules.normalize_str(text)
         space = MARK if m.escape else " "
         return (space if m.dummy_prefix and text else "") + text.replace(" ", space)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text."""
-        return [e.ids for e in self.bare.encode_batch_fast([self.normal(t) for t in texts], add_special_tokens=False)]
+        texts = [self.normal(t) for t in texts]
+        out = [e.ids for e in self.bare.encode_batch_fast(texts, add_special_tokens=False)]
+        if self.bytes_at:
+            for k, ids in enumerate(out):
+                if self.model.unknown in ids:
+                    e = self.bare.encode(texts[k], add_special_tokens=False)
+                    out[k] = [y for x, (i, j) in zip(e.ids, e.offsets, strict=True) for y in ([self.bytes_at[c] for c in texts[k][i:j].encode()] if x == self.model.unknown else (x,))]
+        if self.halves:
+            out = [[y for x in ids for y in self.halves.get(x, (x,))] for ids in out]
+        return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        """Texts of ids; the library itself puts together those whose byte pieces are no whole characters."""
+        """Texts of ids; each byte that is part of no whole character becomes U+FFFD."""
         out = []
         for some in ids:
-            try:
-                text = b"".join(map(self.spelt.__getitem__, some)).decode()
-            except UnicodeDecodeError:
-                text = self.whole.decode(some, skip_special_tokens=False)
-            else:
-                text = text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
-            out.append(text)
+            text = b"".join(map(self.spelt.__getitem__, some)).decode("utf-8", "scenequarry.one_byte")
+            out.append(text[self.marks(some) if text.startswith(" ") else 0 :])
         return out
 
+    def marks(self, ids: list[int]) -> int:
+        """Markers at the start that stand for no space: the first one, with squeezing all that come alone."""
+        m, n = self.model, 0
+        for i in ids if m.dummy_prefix or m.squeeze else ():
+            piece, _, kind = m.pieces[i]
+            if kind == CONTROL:
+                continue
+            if kind == BYTE or not piece.startswith(MARK):
+                break
+            n += 1
+            if not m.squeeze or len(piece) > 1:
+                break
+        return n
+
 
 _coders: dict[str, PieceCoder] = {}
 
