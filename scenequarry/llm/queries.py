@@ -197,9 +197,11 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scan_sql() -> str:
     """Sentences, their normal form and numbers, then one step per rule on the documents that hold a known sentence."""
-    quote = lambda x: x.replace("(?P<v>", "(?:").replace("'", "''")
+    quote = lambda x: x.replace("'", "''")
     dotted = "regexp_replace(regexp_replace(lower(x), '([0-9])\\.([0-9])', '\\1\x01\\2', 'g'), '([0-9])\\.([0-9])', '\\1\x01\\2', 'g')"
     normal = f"trim(regexp_replace(replace(replace({dotted}, '.', ' '), '\x01', '.'), '[^\\p{{L}}\\p{{N}}./()]+', ' ', 'g'))"
+    normal = f"trim(regexp_replace(regexp_replace({normal}, '{L.SLASHES[0]}', ' ', 'g'), '{L.SLASHES[1]}', ''))"
+    parts = f"CASE WHEN regexp_matches(s, '{L.SPDX}') THEN list_transform(string_split_regex(regexp_replace(regexp_replace(s, '{L.SPDX}', ''), '[()]', '', 'g'), '{L.SPDX_PARTS}'), lambda z: 'spdx ' || trim(z)) ELSE [s] END"
     number = "CASE " + " ".join(f"WHEN regexp_full_match(s, '{quote(form)}') THEN {n}" for n, form in L.SENTENCES) + " END"
     steps, last = [], "w0"
     for k, r in enumerate(L.RULES, 1):
@@ -211,8 +213,9 @@ def _scan_sql() -> str:
         last = f"w{k}"
     return f"""WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?;])\\s+', '\\1\n', 'g'), '[\\n\\r\\v\\f]+'), lambda z: trim(z) <> '') AS parts FROM documents),
 n AS (SELECT doc_id, x, i FROM (SELECT doc_id, unnest(parts) AS x, generate_subscripts(parts, 1) AS i FROM t) u WHERE regexp_matches(x, '(?i){quote(L.HINTS)}')),
-m AS (SELECT doc_id, i, {number} AS id FROM (SELECT doc_id, i, {normal} AS s FROM n) v WHERE regexp_matches(s, '{quote(L.HINTS)}')),
-w0 AS (SELECT doc_id, list(id ORDER BY i) AS rest, CAST([] AS VARCHAR[]) AS found FROM m WHERE id IS NOT NULL GROUP BY doc_id), {", ".join(steps)}
+o AS (SELECT doc_id, i, unnest({parts}) AS s, generate_subscripts({parts}, 1) AS j FROM (SELECT doc_id, i, {normal} AS s FROM n) v),
+m AS (SELECT doc_id, i, j, {number} AS id FROM o WHERE regexp_matches(s, '{quote(L.HINTS)}')),
+w0 AS (SELECT doc_id, list(id ORDER BY i, j) AS rest, CAST([] AS VARCHAR[]) AS found FROM m WHERE id IS NOT NULL GROUP BY doc_id), {", ".join(steps)}
 SELECT t.doc_id, CAST(len(parts) AS BIGINT) AS n_sentences, coalesce(array_to_string(w0.rest, ','), '') AS sentence_ids, coalesce(array_to_string({last}.found, ','), '') AS licences FROM t LEFT JOIN w0 USING (doc_id) LEFT JOIN {last} USING (doc_id)"""
 
 

@@ -30,7 +30,7 @@ def test_query_equals_its_sql(spark, tmp_path):
 
     from scenequarry.llm import queries as Q
 
-    texts = [APACHE, "Released under the MIT License. Licensed under CC BY-NC 4.0.\nLicensed under the Apache License, Version 2.0.", None, "", " \t\n x", "MIT License\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software now", "All rights reserved. version 1.2.3 of the licence; yes"]
+    texts = [*[t for t, _ in NOTICES if "\n" not in t], APACHE, "Released under the MIT License. Licensed under CC BY-NC 4.0.\nLicensed under the Apache License, Version 2.0.", None, "", " \t\n x", "MIT License\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software now", "All rights reserved. version 1.2.3 of the licence; yes"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
     got = sorted(map(tuple, Q.QUERIES["op2_license_scan"](spark, str(tmp_path)).collect()))
     con = duckdb.connect()
@@ -50,3 +50,37 @@ def test_published_wrapped_texts(spark):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "asset_id long, notes string")
     got = {r.asset_id: ",".join(r.licences) for r in L.scan_notes(df).collect()}
     assert got == {i: w for i, (_, w) in enumerate(texts)}
+
+
+BSD = "Copyright (c) 2020, Some One\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice.\n\n{}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\"\nAND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.\n"
+NAMES = "3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n\n"
+NOTICES = [
+    (BSD.format(""), "BSD-2-Clause"), ("All rights reserved.", "proprietary"), ("Copyright 2020 X. All rights reserved. Licensed under the MIT License.", "MIT"),
+    ("Released under the terms of the CC BY 4.0.", "CC-BY"), ("Released to CC0 1.0", "public-domain"), ("Distributed under the terms of the Creative Commons BY-SA 4.0.", "CC-BY-SA"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY"), ("Licensed under the Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", "CC-BY-NC-SA"),
+    ("Licensed under the GNU Affero General Public License, version 3 or later.", "AGPL-3.0"), ("Licensed under the Mozilla Public License 2.0.", "MPL-2.0"), ("Released under the ISC license", "ISC"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0.", "MPL-2.0"), ("ISC License\n\nPermission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES\nWITH REGARD TO THIS SOFTWARE", "ISC"),
+    ("SPDX: BSD-3-Clause", "BSD-3-Clause"), ("// SPDX-License-Identifier: MIT OR Apache-2.0", "MIT,Apache-2.0"), ("/* SPDX-License-Identifier: (GPL-2.0-or-later AND CC-BY-SA-4.0) */", "GPL-2.0,CC-BY-SA"), ("SPDX-License-Identifier: GPL-3.0-only", "GPL-3.0"),
+    ("// " + APACHE.replace("\n", "\n// "), "Apache-2.0"), ("//Released under the MIT License.", "MIT"), ("All rights\nreserved", "proprietary"), ("The public library in CC was creative / old.", ""),
+]
+
+
+def test_notices(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(NOTICES)], "asset_id long, notes string")
+    got = {r.asset_id: ",".join(r.licences) for r in L.scan_notes(df).collect()}
+    assert {i: (NOTICES[i][0], got[i]) for i in got} == {i: x for i, x in enumerate(NOTICES)}
+
+
+def test_numbered_conditions(spark):
+    """A condition with its number in front of it is the same sentence."""
+    df = spark.createDataFrame([(1, BSD.format(NAMES)), (2, BSD.format(NAMES[3:]))], "asset_id long, notes string")
+    assert {r.asset_id: r.licences for r in L.scan_notes(df).collect()} == {1: ["BSD-3-Clause"], 2: ["BSD-3-Clause"]}
+
+
+def test_every_sentence_holds_a_hint():
+    import re
+
+    for number, form in L.SENTENCES:
+        for way in form.split("|") if form.startswith("you may obtain") else [form]:
+            shown = re.sub(r"\(\?:[^()]*\)\?|\(\?:(?:[^()]|\([^()]*\))*\)\?", " ", way).replace("licen[sc]e", "license").replace("(?:by|attribution)", "by")
+            assert re.search(L.HINTS, shown) or re.search(L.HINTS, way), number
