@@ -31,22 +31,25 @@ def codebook_1d(df: DataFrame, keys: Sequence[str], columns: Sequence[str], bins
     """Sorted codebook shared by the columns of each key: (keys, book array<double>).
 
     Starts linear between the extremes; each round assigns values with map-side sums and moves the used entries to their
-    mean. The books are ``bins`` numbers per key; books and sums stay tables, so many keys run in one job.
+    mean. The input is read once: rounds run on the written counts of the different values of each key. The books are
+    ``bins`` numbers per key; books and sums stay tables, so many keys run in one job. Nulls move no entry; a key of nulls
+    alone has a book of nulls.
     """
     from scenequarry.operators.scale import attach
 
     keys = list(keys)
     values = df.select(*keys, F.explode(F.array(*[F.col(c).cast("double") for c in columns])).alias("v"))
+    values = cut(values.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n")))
     ends = values.groupBy(*keys).agg(F.min("v").alias("a"), F.max("v").alias("b"))
     step = (F.col("b") - F.col("a")) / float(bins - 1)
     book = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: F.col("a") + step * i)
     books = cut(ends.select(*keys, book.alias("book")))
     for _ in range(iterations):
-        j = attach(values, books, keys, max_rows=5_000, materialise=False)
-        sums = j.groupBy(*keys, nearest_code(F.col("v"), F.col("book")).alias("i")).agg(F.avg("v").alias("m"))
+        j = attach(values.filter("v IS NOT NULL"), books, keys, max_rows=5_000, materialise=False)
+        sums = j.groupBy(*keys, nearest_code(F.col("v"), F.col("book")).alias("i")).agg((F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("m"))
         moved = sums.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("i", "m"))).alias("_m"))
         books = cut(
-            books.join(moved, keys).select(
+            books.join(moved, keys, "left").select(
                 *keys,
                 F.array_sort(
                     F.transform(F.col("book"), lambda v, i: F.coalesce(F.try_element_at(F.col("_m"), i), v))

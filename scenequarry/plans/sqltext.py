@@ -46,3 +46,24 @@ ALPHA = "(1e0/(1e0+exp(-opacity_raw)))"
 def percentile_sql(rows: str, key: str, value: str, p: float, name: str) -> str:
     """Linear percentile per key as a sub-select."""
     return f"SELECT {key}, quantile_cont({value}, {p}) AS {name} FROM {rows} GROUP BY {key}"
+
+
+def lloyd_sql(rows: str, key: str, columns: tuple[str, ...], bins: int = 256, iterations: int = 10) -> str:
+    """CTEs of one-dimensional Lloyd rounds: ``book`` (key, code, value) and ``coded`` (key, v, code)."""
+
+    def nearest(book: str) -> str:
+        return f"""SELECT v.{key}, v.v, v.n, CASE WHEN b.code IS NULL THEN 0 WHEN b.nxt - v.v < v.v - b.value THEN b.code + 1 ELSE b.code END AS code
+  FROM vals v ASOF LEFT JOIN (SELECT * FROM (SELECT *, lead(value) OVER (PARTITION BY {key} ORDER BY code) AS nxt FROM {book}) q
+    WHERE nxt IS NULL OR nxt > value) b ON v.{key} = b.{key} AND v.v >= b.value"""
+
+    parts = [
+        f"vals AS MATERIALIZED (SELECT {key}, v, count(*) AS n FROM (SELECT {key}, unnest([{', '.join(columns)}]) AS v FROM {rows}) q GROUP BY ALL)",
+        f"""book0 AS MATERIALIZED (SELECT {key}, i AS code, a + (b - a) / {bins - 1}e0 * i AS value
+  FROM (SELECT {key}, min(v) AS a, max(v) AS b FROM vals GROUP BY ALL) e, range({bins}) t(i))""",
+    ]
+    for k in range(iterations):
+        parts.append(f"means{k} AS MATERIALIZED (SELECT {key}, code, sum(v * n) / sum(n) AS m FROM ({nearest(f'book{k}')}) q GROUP BY ALL)")
+        parts.append(f"""book{k + 1} AS MATERIALIZED (SELECT {key}, row_number() OVER (PARTITION BY {key} ORDER BY value) - 1 AS code, value
+  FROM (SELECT b.{key}, coalesce(m.m, b.value) AS value FROM book{k} b LEFT JOIN means{k} m ON b.{key} = m.{key} AND b.code = m.code) q)""")
+    parts += [f"book AS (SELECT * FROM book{iterations})", f"coded AS MATERIALIZED ({nearest(f'book{iterations}')})"]
+    return ",\n".join(parts)
