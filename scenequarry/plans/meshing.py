@@ -106,16 +106,17 @@ def _(load):
 
 
 def _half(src, f, out):
-    return f"""{out} AS (SELECT p.vertex_id, p.x+({f})*(avg(q.x)-p.x) AS x, p.y+({f})*(avg(q.y)-p.y) AS y, p.z+({f})*(avg(q.z)-p.z) AS z FROM {src} p JOIN adj ON adj.a = p.vertex_id JOIN {src} q ON q.vertex_id = adj.b GROUP BY p.vertex_id, p.x, p.y, p.z)"""
+    return f"""{out} AS MATERIALIZED (SELECT p.vertex_id, p.x+({f})*(avg(q.x)-p.x) AS x, p.y+({f})*(avg(q.y)-p.y) AS y, p.z+({f})*(avg(q.z)-p.z) AS z FROM {src} p JOIN adj ON adj.a = p.vertex_id JOIN {src} q ON q.vertex_id = adj.b GROUP BY p.vertex_id, p.x, p.y, p.z)"""
 
 
 @query(
-    "mesh_smoothing", "mesh_faces mesh_vertices", f"SELECT vertex_id, {r('x', 'x')}, {r('y', 'y')}, {r('z', 'z')} FROM s2",
-    then=_EDGES + ", adj AS (SELECT DISTINCT a, b FROM edges UNION SELECT DISTINCT b, a FROM edges), " + _half("mesh_vertices", "0.5e0", "s1") + ", " + _half("s1", "-0.5e0/0.95e0", "s2"),
+    "mesh_smoothing", "mesh_faces mesh_vertices", f"SELECT vertex_id, {r('x', 'x')}, {r('y', 'y')}, {r('z', 'z')} FROM s6",
+    then=_EDGES + ", adj AS MATERIALIZED (SELECT DISTINCT a, b FROM edges UNION SELECT DISTINCT b, a FROM edges), "
+    + ", ".join(_half(f"s{k}" if k else "mesh_vertices", "-0.5e0/0.95e0" if k % 2 else "0.5e0", f"s{k + 1}") for k in range(6)),
 )
 def _(load):
     v, f = _mesh(load)
-    return M.smooth(v, f, K, 1, 0.5).select("vertex_id", *[rd(F.col(a), a) for a in "xyz"])
+    return M.smooth(v, f, K, 3, 0.5).select("vertex_id", *[rd(F.col(a), a) for a in "xyz"])
 
 
 @query(
