@@ -190,6 +190,15 @@ def joint_histogram(rows: DataFrame, a: tuple[str, str], b: tuple[str, str], bin
     )
 
 
+def joint_cell(rows: DataFrame, a: tuple[str, str], b: tuple[str, str], cell: tuple[int, int], bins: int = 8) -> DataFrame:
+    """Rows that ``joint_histogram`` counts in one cell of their scene; rows without a finite value in either lie in none."""
+    ba = histogram_bounds(rows, *a).select("scene_id", F.col("lo").alias("_alo"), F.col("hi").alias("_ahi"))
+    bb = histogram_bounds(rows, *b).select("scene_id", F.col("lo").alias("_blo"), F.col("hi").alias("_bhi"))
+    j = attach(rows, ba.join(bb, "scene_id"), ["scene_id"])
+    at_a, at_b = bin_of(F.col(a[1]), F.col("_alo"), F.col("_ahi"), bins), bin_of(F.col(b[1]), F.col("_blo"), F.col("_bhi"), bins)
+    return j.filter((at_a == cell[0]) & (at_b == cell[1])).select(*rows.columns)
+
+
 # ------------------------------------------------------------------ metric reports
 
 

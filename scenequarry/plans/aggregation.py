@@ -165,6 +165,18 @@ def _(load):
     return A.joint_histogram(s, ("volume", "volume"), ("opacity", "opacity"), 8)
 
 
+@query(
+    "joint_cell", "splats",
+    f"""SELECT scene_id, splat_id FROM (SELECT scene_id, splat_id, volume AS e, o, min(volume) OVER (PARTITION BY scene_id) AS lo, max(volume) OVER (PARTITION BY scene_id) AS hi
+FROM (SELECT scene_id, splat_id, 4e0/3e0*pi()*exp(s0)*exp(s1)*exp(s2) AS volume, {ALPHA} AS o FROM splats) a) q
+WHERE least(7, floor((e-lo)/(hi-lo)*8)) = 0 AND least(7, floor(o*8)) = 4""",
+)
+def _(load):
+    """Rows of the smallest volumes and of the fifth opacity bin of eight."""
+    s = load("splats").withColumns({"volume": SP.volume(), "opacity": SP.opacity()})
+    return A.joint_cell(s, ("volume", "volume"), ("opacity", "opacity"), (0, 4), 8).select("scene_id", "splat_id")
+
+
 _IG = {
     "too_few_frames": "frame_count < 20", "too_many_frames": "frame_count > 500", "blurry": "blurry_ratio > 0.5",
     "exposure": "under_ratio+over_ratio > 0.3", "coverage": "coverage < 0.3",

@@ -55,6 +55,18 @@ def _(load):
     return d.select("event_id", "stage", rd(F.col("delta"), "delta", 5))
 
 
+@query(
+    "counter_rate_per_second", "",
+    """SELECT event_id, CASE WHEN dt > 0 THEN round(d / dt, 6) + 0e0 END AS rate FROM (SELECT event_id, value - coalesce(lag(value) OVER w, 0) AS d,
+    event_id * 0.25e0 - lag(event_id * 0.25e0) OVER w AS dt FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id)) q""",
+)
+def _(load):
+    """Four samples a second, one counter for each kind of event."""
+    e = load("events").select("event_id", "event_type", "value", (F.col("event_id") * 0.25).cast("double").alias("seconds"))
+    d = S.counter_rates(e, "event_type", "event_id", "value", "seconds")
+    return d.select("event_id", rd(F.col("rate"), "rate"))
+
+
 _EASE = """CASE easing WHEN 'ease_in' THEN u*u*u WHEN 'ease_out' THEN 1-(1-u)*(1-u)*(1-u) WHEN 'ease_in_out' THEN CASE WHEN u < 0.5 THEN 4*u*u*u ELSE 1-(2-2*u)*(2-2*u)*(2-2*u)/2 END ELSE u END"""
 _TIMES = "SELECT c_custkey, c_custkey % 20 AS clip_id, (c_custkey % 977)/10e0-3e0 AS qt FROM customer"
 

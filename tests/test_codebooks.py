@@ -27,3 +27,13 @@ def test_books_equal_slow_rounds_with_repeats_and_nulls(spark):
 def test_no_rows(spark):
     df = spark.createDataFrame([], "scene_id string, s0 double")
     assert CB.codebook_1d(df, ["scene_id"], ["s0"], bins=8, iterations=2).count() == 0
+
+
+def test_first_joint_cell_holds_the_first_row_only(spark):
+    from scenequarry.operators import aggregates as A
+
+    rows = [("a", 0, 1.0, 0.05), ("a", 1, 1.5, 0.55), ("a", 2, 3.0, 0.95), ("a", 3, float("nan"), 0.05), ("a", 4, None, 0.05)]
+    df = spark.createDataFrame(rows, "scene_id string, splat_id long, scale_max double, opacity double")
+    args = (df, ("scale_max", "scale_max"), ("opacity", "opacity"))
+    assert [r.splat_id for r in A.joint_cell(*args, (0, 0)).collect()] == [0]
+    assert sum(r.n for r in A.joint_histogram(*args).collect()) == 3
